@@ -60,8 +60,15 @@ def salted_join(
     row_id: Column,
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    hash_right: bool = False,
 ) -> DataFrame:
-    """Equi-join on `key` where keys may repeat on the left (inner or left joins only)."""
+    """Equi-join on `key` where keys may repeat on the left (inner or left joins only).
+
+    `hash_right` builds hash tables from a narrow right side, so a wide left side is shuffled
+    but not sorted.
+    """
     hot = hot_keys(left, key, rows_per_task)
-    joined = spread(left, key, row_id, hot).join(replicate(right, key, hot), [key, SALT], how)
-    return joined.drop(SALT)
+    other = replicate(right, key, hot)
+    if hash_right:
+        other = other.hint("shuffle_hash")
+    return spread(left, key, row_id, hot).join(other, [key, SALT], how).drop(SALT)

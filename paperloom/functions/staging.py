@@ -1,4 +1,4 @@
-"""Write an intermediate result once, and broadcast it only if it is measured to be small."""
+"""Measurements that decide a plan: size of an intermediate result, repeated keys."""
 
 from __future__ import annotations
 
@@ -57,3 +57,9 @@ def stage(df: DataFrame, label: str) -> Staged:
     )
     frame = df.sparkSession.read.schema(df.schema).parquet(path)
     return Staged(frame, seen.get["rows"], seen.get["bytes"])
+
+
+def has_repeated(df: DataFrame, column: str) -> bool:
+    """Does any value of `column` occur twice?"""
+    repeated = df.groupBy(column).count().filter(F.col("count") > 1)
+    return not repeated.isEmpty()

@@ -41,8 +41,9 @@ def fulltext_corpus(
 
     The texts are by far the larger side. The eligible papers are staged and measured: small
     enough, they are broadcast and the texts are never shuffled. Otherwise the texts are
-    shuffled once; the year bound is repeated on the staged side so that Spark may build a
-    runtime Bloom filter from it and drop other texts before the shuffle.
+    shuffled once but not sorted, as the hash tables come from the papers; the year bound is
+    repeated there so that Spark may build a runtime Bloom filter from that side and drop
+    other texts before the shuffle.
     """
     eligible = stage(eligible_papers(papers, id_field, year_lt, id_range), "eligible")
     bodies = fulltext.filter(
@@ -54,6 +55,7 @@ def fulltext_corpus(
         side = eligible.frame
         if year_lt is not None:
             side = side.filter(F.col("year") < year_lt)
+        side = side.hint("shuffle_hash")
     return bodies.join(side, "corpusid").select(
         "corpusid",
         "year",

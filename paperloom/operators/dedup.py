@@ -13,22 +13,38 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.columns import list_length
 from paperloom.functions.skew import ROWS_PER_TASK, salted_join
-from paperloom.functions.staging import BROADCAST_BYTES, stage
+from paperloom.functions.staging import BROADCAST_BYTES, has_repeated, stage
+
+
+def _counted(works: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """`key` and `columns` with the counts to rank by; reads one leaf of each list.
+
+    The rank uses each count twice, so Spark computes them here, before the sort that the
+    aggregate needs, and neither lists nor abstracts pass through it.
+    """
+    return works.filter(F.col(key).isNotNull()).select(
+        key,
+        *columns,
+        F.col("cited_by_count").alias("_cited"),
+        list_length("authorships.author_position").alias("_authors"),
+        F.col("abstract_inverted_index").isNull().alias("_no_abstract"),
+        list_length("topics.id").alias("_topics"),
+    )
 
 
 def _rank(id_col: str) -> list[Column]:
-    """Sort key whose smallest value is the best record; reads one leaf of each list."""
+    """Sort key over `_counted` columns whose smallest value is the best record."""
+    parts: list[Column] = []
+    for count in ("_cited", "_authors"):
+        parts += _most_first(count)
+    parts.append(F.col("_no_abstract"))
+    parts += _most_first("_topics")
+    return [*parts, F.col(id_col).alias("id")]
 
-    def most_first(count: Column, name: str) -> list[Column]:
-        return [count.isNull().alias(f"{name}_unknown"), (-count.cast("bigint")).alias(name)]
 
-    return [
-        *most_first(F.col("cited_by_count"), "cited"),
-        *most_first(list_length("authorships.author_position"), "authors"),
-        F.col("abstract_inverted_index").isNull().alias("no_abstract"),
-        *most_first(list_length("topics.id"), "topics"),
-        F.col(id_col).alias("id"),
-    ]
+def _most_first(count: str) -> list[Column]:
+    value = F.col(count)
+    return [value.isNull().alias(f"{count}_unknown"), (-value.cast("bigint")).alias(count)]
 
 
 def best_records(
@@ -42,7 +58,7 @@ def best_records(
     payload = [F.struct(*columns).alias("payload")] if columns else []
     best = F.min(F.struct(*_rank(id_col), *payload))
     return (
-        works.filter(F.col(key).isNotNull())
+        _counted(works, key, [id_col, *columns])
         .groupBy(key)
         .agg(best.alias("best"), F.count(F.lit(1)).alias("copies"))
         .select(
@@ -54,12 +70,6 @@ def best_records(
     )
 
 
-def has_repeated(df: DataFrame, column: str) -> bool:
-    """Does any value of `column` occur twice?"""
-    repeated = df.groupBy(column).count().filter(F.col("count") > 1)
-    return not repeated.isEmpty()
-
-
 def dedup_works(
     works: DataFrame,
     key: str = "doi",
@@ -82,11 +92,13 @@ def dedup_works(
     if unique_ids is None:
         unique_ids = not has_repeated(works.select(id_col), id_col)
     if not unique_ids:
+        rest = [c for c in works.columns if c != key]
         ranked = Window.partitionBy(key).orderBy(*_rank(id_col))
         return (
-            with_key.withColumn("_rn", F.row_number().over(ranked))
+            _counted(works, key, rest)
+            .withColumn("_rn", F.row_number().over(ranked))
             .filter(F.col("_rn") == 1)
-            .drop("_rn")
+            .select(*works.columns)
         )
 
     copied = best_records(works, key=key, id_col=id_col).filter(F.col("copies") > 1)
@@ -95,7 +107,7 @@ def dedup_works(
         joined = with_key.join(F.broadcast(winners.frame), key, "left")
     else:
         joined = salted_join(
-            with_key, winners.frame, key, F.col(id_col), "left", rows_per_task
+            with_key, winners.frame, key, F.col(id_col), "left", rows_per_task, hash_right=True
         )
     kept = joined.filter(F.col("_keep").isNull() | (F.col(id_col) == F.col("_keep")))
     return kept.select(*works.columns)

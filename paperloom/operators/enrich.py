@@ -7,18 +7,21 @@ Pass `papers` with the key and derived columns only to keep the wide columns out
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import percent
 from paperloom.functions.nested import add_typed_column, column_by_name
 from paperloom.functions.skew import ROWS_PER_TASK, SALT, hot_keys, replicate, spread
-from paperloom.functions.staging import BROADCAST_BYTES, stage
+from paperloom.functions.staging import BROADCAST_BYTES, has_repeated, stage
 from paperloom.schemas import CONCEPTS, TOPIC, TOPICS, type_of
 
 FLAG_MODES = ("incremental", "force", "recompute")
 TOPIC_MODES = ("incremental", "force")
-_HIT = "_hit"
+_HIT = "_in_"
 _NEW = "_new"
 
 
@@ -30,54 +33,96 @@ def _require(mode: str, allowed: tuple[str, ...]) -> None:
 # ---- flags ---------------------------------------------------------------------------------
 
 
-def _flag_state(papers: DataFrame, other: DataFrame, key: str, flag: str) -> DataFrame:
-    """Papers with their old flag and whether the key exists in `other`."""
-    present = other.select(key).distinct().withColumn(_HIT, F.lit(True))
-    joined = add_typed_column(papers, flag, "boolean").join(present, key, "left")
-    return joined.withColumn(_HIT, F.col(_HIT).isNotNull())
+def _flag_state(
+    papers: DataFrame, others: Mapping[str, DataFrame], key: str, broadcast_bytes: int
+) -> DataFrame:
+    """Papers with their old flags and, per flag, whether the key exists in its table.
+
+    The keys of all tables are merged into one small row per key before they meet the papers,
+    so any number of flags costs one join. The merged keys are staged and measured: broadcast
+    if small, which leaves the papers in place; otherwise a shuffled join of two plain
+    exchanges, the shape in which adaptive execution splits a skewed partition.
+    """
+    tagged = [
+        other.select(key, *[F.lit(flag == name).alias(_HIT + name) for name in others])
+        for flag, other in others.items()
+    ]
+    present = (
+        reduce(DataFrame.unionAll, tagged)
+        .filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(*[F.bool_or(_HIT + name).alias(_HIT + name) for name in others])
+    )
+    for flag in others:
+        papers = add_typed_column(papers, flag, "boolean")
+    staged = stage(present, "keys-present")
+    side = F.broadcast(staged.frame) if staged.fits(broadcast_bytes) else staged.frame
+    return papers.join(side, key, "left")
+
+
+def _hit(flag: str) -> Column:
+    return F.coalesce(F.col(_HIT + flag), F.lit(False))
 
 
 def _flag_updated(flag: str, mode: str) -> Column:
-    if mode == "incremental":
-        return F.col(_HIT) & F.col(flag).isNull()
-    return F.col(_HIT)
+    return _hit(flag) & F.col(flag).isNull() if mode == "incremental" else _hit(flag)
 
 
 def _flag_after(flag: str, mode: str) -> Column:
-    old, hit = F.col(flag), F.col(_HIT)
     if mode == "incremental":
-        return F.coalesce(old, hit)
+        return F.coalesce(F.col(flag), _hit(flag))
     if mode == "force":
-        return hit | F.coalesce(old, F.lit(False))
-    return hit
+        return _hit(flag) | F.coalesce(F.col(flag), F.lit(False))
+    return _hit(flag)
 
 
-def flag_exists(
-    papers: DataFrame, other: DataFrame, key: str, flag: str, mode: str = "incremental"
+def flag_all(
+    papers: DataFrame,
+    others: Mapping[str, DataFrame],
+    key: str = "corpusid",
+    mode: str = "incremental",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Set boolean `flag` by whether `key` occurs in `other`.
+    """Set each boolean flag in `others` by whether `key` occurs in its table.
 
     incremental: only NULL flags are decided, TRUE and FALSE stay.
     force: a hit sets TRUE; without a hit TRUE and FALSE stay and NULL becomes FALSE.
     recompute: the flag is the hit, which also clears stale TRUE flags.
     """
     _require(mode, FLAG_MODES)
-    state = _flag_state(papers, other, key, flag)
-    return state.withColumn(flag, _flag_after(flag, mode)).drop(_HIT)
+    state = _flag_state(papers, others, key, broadcast_bytes)
+    after = {flag: _flag_after(flag, mode) for flag in others}
+    return state.withColumns(after).drop(*[_HIT + flag for flag in others])
+
+
+def flag_exists(
+    papers: DataFrame,
+    other: DataFrame,
+    key: str,
+    flag: str,
+    mode: str = "incremental",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """`flag_all` for one flag."""
+    return flag_all(papers, {flag: other}, key, mode, broadcast_bytes)
 
 
 def flag_report(
-    papers: DataFrame, other: DataFrame, key: str, flag: str, mode: str = "incremental"
+    papers: DataFrame,
+    other: DataFrame,
+    key: str,
+    flag: str,
+    mode: str = "incremental",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row: how many papers, how many updated by a hit, how many TRUE afterwards."""
     _require(mode, FLAG_MODES)
-    after = _flag_after(flag, mode)
     return (
-        _flag_state(papers, other, key, flag)
+        _flag_state(papers, {flag: other}, key, broadcast_bytes)
         .agg(
             F.count(F.lit(1)).alias("total"),
             F.count_if(_flag_updated(flag, mode)).alias("rows_updated"),
-            F.count_if(after).alias("covered"),
+            F.count_if(_flag_after(flag, mode)).alias("covered"),
         )
         .withColumn("pct", percent(F.col("covered"), F.col("total"), 1))
     )
@@ -96,7 +141,8 @@ def _assigned_topics(
     """(corpusid, topics, concepts) of the work each paper is linked to.
 
     A paper linked to several works takes the one with the smallest id, and among copies of
-    that work one that has topics.
+    that work one that has topics. The aggregate for that carries topics through a sort, so
+    it is planned only if some paper has several links or ids may repeat.
     """
     payload = works.filter(F.col("id").isNotNull()).select(
         F.col("id").alias("oa_id"),
@@ -106,26 +152,28 @@ def _assigned_topics(
     content = F.struct(F.col("topics").isNull().alias("without"), "topics", "concepts")
 
     staged = stage(pairs, "topic-pairs")
+    several = has_repeated(staged.frame, "corpusid")
     if staged.fits(broadcast_bytes):
         # Few papers to fill: the works are scanned in place, not shuffled.
-        matched = payload.join(F.broadcast(staged.frame), "oa_id")
-        matched = matched.select("corpusid", "oa_id", content.alias("content"))
+        matched = payload.select("oa_id", content.alias("content")).join(
+            F.broadcast(staged.frame), "oa_id"
+        )
+        several = several or not unique_ids
     else:
         hot = hot_keys(staged.frame, "oa_id", rows_per_task)
-        salted = replicate(payload, "oa_id", hot)
-        if unique_ids:
-            contents = salted.select("oa_id", SALT, content.alias("content"))
-        else:
-            contents = salted.groupBy("oa_id", SALT).agg(F.min(content).alias("content"))
-        matched = spread(staged.frame, "oa_id", F.col("corpusid"), hot).join(
-            contents, ["oa_id", SALT]
+        contents = replicate(payload, "oa_id", hot).select("oa_id", SALT, content.alias("content"))
+        if not unique_ids:
+            contents = contents.groupBy("oa_id", SALT).agg(F.min("content").alias("content"))
+        pairs_side = spread(staged.frame, "oa_id", F.col("corpusid"), hot).hint("shuffle_hash")
+        matched = contents.join(pairs_side, ["oa_id", SALT])
+    if several:
+        chosen = F.min(F.struct("oa_id", "content"))
+        matched = (
+            matched.groupBy("corpusid")
+            .agg(chosen.alias("chosen"))
+            .select("corpusid", "chosen.content")
         )
-    chosen = F.min(F.struct("oa_id", "content"))
-    return (
-        matched.groupBy("corpusid")
-        .agg(chosen.alias("chosen"))
-        .select("corpusid", "chosen.content.topics", "chosen.content.concepts")
-    )
+    return matched.select("corpusid", "content.topics", "content.concepts")
 
 
 def _topic_state(

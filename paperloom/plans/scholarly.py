@@ -120,9 +120,8 @@ class Database:
         flags = {"has_abstract": "s2_abstracts", "has_fulltext": "s2orc_v2"}
         keys = self.spark.table("s2_papers").select("corpusid")
         state = self._state("paper_flags", keys, list(flags))
-        for name, other in flags.items():
-            state = enrich.flag_exists(state, self.spark.table(other), "corpusid", name, mode)
-        self.publish("paper_flags", state, mode=mode)
+        others = {flag: self.spark.table(other) for flag, other in flags.items()}
+        self.publish("paper_flags", enrich.flag_all(state, others, mode=mode), mode=mode)
 
     def enrich(self, mode: str = "incremental", unique_ids: bool = False) -> None:
         keys = self.spark.table("s2_papers").select("corpusid")

@@ -346,8 +346,7 @@ for _mode in enrich.FLAG_MODES:
 
 
 def _flagged(t: Tables) -> DataFrame:
-    with_abstract = enrich.flag_exists(t.papers, t.abstracts, "corpusid", "has_abstract")
-    return enrich.flag_exists(with_abstract, t.fulltext, "corpusid", "has_fulltext")
+    return enrich.flag_all(t.papers, {"has_abstract": t.abstracts, "has_fulltext": t.fulltext})
 
 
 _TOPIC_SQL = """
@@ -579,7 +578,8 @@ def _(t: Tables) -> DataFrame:
 
 
 def _counts(t: Tables) -> DataFrame:
-    return trends.topic_counts(t.works)
+    """Written once: ranking and trend both read it, and the works are scanned once."""
+    return stage(trends.topic_counts(t.works), "topic-counts").frame
 
 
 @register("topic_counts", "topic_counts", sql="SELECT * FROM topic_counts")
