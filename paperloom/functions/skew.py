@@ -3,7 +3,8 @@
 `hot_keys` counts the rows per key on the side that may repeat keys. Keys above a row
 limit get as many salts as they have multiples of that limit, so each (key, salt) pair holds
 about `rows_per_task` rows whatever the share of the key. All other keys have one salt.
-Nothing is dropped: a key that is not listed simply joins unsalted.
+Nothing is dropped: a key that is not listed simply joins unsalted. Without hot keys the
+join is a plain one.
 
 Keys are compared by 64-bit hash here. A collision only salts a key that did not need it.
 """
@@ -13,25 +14,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.staging import stage
+
 ROWS_PER_TASK = 1_000_000
 SALT = "_salt"
 _HASH = "_key_hash"
 _SALTS = "_salts"
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Hash and number of salts of every key with more than `rows_per_task` rows.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """Hash and number of salts of every key with more than `rows_per_task` rows, if any.
 
     At most (rows of `df`) / `rows_per_task` rows of 12 bytes, which bounds the broadcast:
-    1.2 MB for 10^11 rows.
+    1.2 MB for 10^11 rows. The result is staged, so both sides of a join share one count.
     """
-    return (
+    hot = (
         df.select(F.xxhash64(key).alias(_HASH))
         .groupBy(_HASH)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rows_per_task)
         .select(_HASH, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(_SALTS))
     )
+    staged = stage(hot, "hot-keys")
+    return staged.frame if staged.rows else None
 
 
 def _with_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
@@ -67,8 +72,10 @@ def salted_join(
     `hash_right` builds hash tables from a narrow right side, so a wide left side is shuffled
     but not sorted.
     """
-    hot = hot_keys(left, key, rows_per_task)
-    other = replicate(right, key, hot)
+    hot, keys = hot_keys(left, key, rows_per_task), [key]
+    if hot is not None:
+        left, right = spread(left, key, row_id, hot), replicate(right, key, hot)
+        keys.append(SALT)
     if hash_right:
-        other = other.hint("shuffle_hash")
-    return spread(left, key, row_id, hot).join(other, [key, SALT], how).drop(SALT)
+        right = right.hint("shuffle_hash")
+    return left.join(right, keys, how).drop(SALT)

@@ -47,6 +47,15 @@ def _most_first(count: str) -> list[Column]:
     return [value.isNull().alias(f"{count}_unknown"), (-value.cast("bigint")).alias(count)]
 
 
+def _sortable(key: str) -> Column:
+    """Hash to group by ahead of `key`.
+
+    The aggregate and the window sort by their keys. DOIs all start alike, so comparing them
+    is slow, while Spark sorts numbers by radix.
+    """
+    return F.xxhash64(key)
+
+
 def best_records(
     works: DataFrame, columns: Sequence[str] = (), key: str = "doi", id_col: str = "id"
 ) -> DataFrame:
@@ -59,7 +68,7 @@ def best_records(
     best = F.min(F.struct(*_rank(id_col), *payload))
     return (
         _counted(works, key, [id_col, *columns])
-        .groupBy(key)
+        .groupBy(_sortable(key), key)
         .agg(best.alias("best"), F.count(F.lit(1)).alias("copies"))
         .select(
             key,
@@ -93,7 +102,7 @@ def dedup_works(
         unique_ids = not has_repeated(works.select(id_col), id_col)
     if not unique_ids:
         rest = [c for c in works.columns if c != key]
-        ranked = Window.partitionBy(key).orderBy(*_rank(id_col))
+        ranked = Window.partitionBy(_sortable(key), key).orderBy(*_rank(id_col))
         return (
             _counted(works, key, rest)
             .withColumn("_rn", F.row_number().over(ranked))

@@ -23,6 +23,7 @@ FLAG_MODES = ("incremental", "force", "recompute")
 TOPIC_MODES = ("incremental", "force")
 _HIT = "_in_"
 _NEW = "_new"
+_ID_HASH = "_id_hash"
 
 
 def _require(mode: str, allowed: tuple[str, ...]) -> None:
@@ -160,12 +161,20 @@ def _assigned_topics(
         )
         several = several or not unique_ids
     else:
-        hot = hot_keys(staged.frame, "oa_id", rows_per_task)
-        contents = replicate(payload, "oa_id", hot).select("oa_id", SALT, content.alias("content"))
+        links, keys = staged.frame, [_ID_HASH, "oa_id"]
+        hot = hot_keys(links, "oa_id", rows_per_task)
+        if hot is not None:
+            links = spread(links, "oa_id", F.col("corpusid"), hot)
+            payload = replicate(payload, "oa_id", hot)
+            keys.append(SALT)
+        # Sorted by hash first: ids all start alike and compare slowly.
+        id_hash = F.xxhash64("oa_id").alias(_ID_HASH)
+        contents = payload.select(id_hash, *keys[1:], content.alias("content"))
         if not unique_ids:
-            contents = contents.groupBy("oa_id", SALT).agg(F.min("content").alias("content"))
-        pairs_side = spread(staged.frame, "oa_id", F.col("corpusid"), hot).hint("shuffle_hash")
-        matched = contents.join(pairs_side, ["oa_id", SALT])
+            # Same keys as the join, which then needs no further shuffle.
+            contents = contents.groupBy(*keys).agg(F.min("content").alias("content"))
+        links = links.withColumn(_ID_HASH, F.xxhash64("oa_id"))
+        matched = contents.join(links.hint("shuffle_hash"), keys)
     if several:
         chosen = F.min(F.struct("oa_id", "content"))
         matched = (
@@ -185,11 +194,12 @@ def _topic_state(
     broadcast_bytes: int,
     rows_per_task: int,
 ) -> DataFrame:
+    some_filled = "oa_topics" in papers.columns
     for name, ddl in (("oa_topics", TOPICS), ("oa_concepts", CONCEPTS), ("oa_primary_topic", TOPIC)):
         papers = add_typed_column(papers, name, ddl)
     pairs = lookup.select(F.col("corpusid").cast("bigint").alias("corpusid"), "oa_id")
     pairs = pairs.filter(F.col("oa_id").isNotNull())
-    if mode == "incremental":
+    if mode == "incremental" and some_filled:
         pending = papers.filter(F.col("oa_topics").isNull())
         pairs = pairs.join(
             pending.select(F.col("corpusid").cast("bigint").alias("corpusid")),

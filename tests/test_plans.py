@@ -112,6 +112,20 @@ def test_topics_shuffled_for_many_papers(t):
     no_cartesian(text)
 
 
+def test_repeated_ids_cost_no_extra_shuffle(t):
+    lookup = link.papers_lookup(t.papers, dedup.best_records(t.works, ["publication_year"]))
+    prior = t.papers_prior.select("corpusid", "oa_topics")
+    exchanges = {
+        unique: count(
+            plan(enrich.enrich_topics(prior, lookup, t.works, "force", unique, broadcast_bytes=0)),
+            "Exchange",
+        )
+        for unique in (True, False)
+    }
+    # Works and links by work, found topics and papers by paper.
+    assert exchanges == {True: 4, False: 4}
+
+
 def test_corpus_leaves_texts_in_place(t):
     flagged = enrich.flag_all(t.papers, {"has_fulltext": t.fulltext})
     text = plan(corpus.fulltext_corpus(flagged, t.fulltext))
