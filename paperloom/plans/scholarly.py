@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.functions.nested import add_typed_column
+from paperloom.functions.staging import has_repeated
 from paperloom.operators import audit, corpus, dedup, enrich, link, metrics, trends
 from paperloom.sources import export, scan, tables
 
@@ -53,6 +53,8 @@ class Database:
     spark: SparkSession
     root: str
     jobs: list[str] = field(default_factory=list)
+    # Whether ids of the works repeat; None until `deduplicate` has looked.
+    unique_ids: bool | None = None
 
     @property
     def log(self) -> str:
@@ -110,9 +112,11 @@ class Database:
         pairs = link.papers_lookup(papers, best)
         self.publish("papers_lookup", pairs, year_column="publication_year", mode="full")
 
-    def deduplicate(self, unique_ids: bool | None = None) -> DataFrame:
+    def deduplicate(self) -> DataFrame:
         """View `oa_works_deduped` over the current works."""
-        deduped = dedup.dedup_works(self.spark.table("oa_works"), unique_ids=unique_ids)
+        works = self.spark.table("oa_works")
+        self.unique_ids = not has_repeated(works, "id")
+        deduped = dedup.dedup_works(works, unique_ids=self.unique_ids)
         deduped.createOrReplaceTempView("oa_works_deduped")
         return deduped
 
@@ -123,7 +127,7 @@ class Database:
         others = {flag: self.spark.table(other) for flag, other in flags.items()}
         self.publish("paper_flags", enrich.flag_all(state, others, mode=mode), mode=mode)
 
-    def enrich(self, mode: str = "incremental", unique_ids: bool = False) -> None:
+    def enrich(self, mode: str = "incremental") -> None:
         keys = self.spark.table("s2_papers").select("corpusid")
         columns = ["oa_topics", "oa_concepts", "oa_primary_topic"]
         state = self._state("paper_topics", keys, columns)
@@ -132,23 +136,23 @@ class Database:
             self.spark.table("papers_lookup"),
             self.spark.table("oa_works"),
             mode,
-            unique_ids,
+            unique_ids=bool(self.unique_ids),
         )
         self.publish("paper_topics", filled, mode=mode)
 
-    def compose(self) -> DataFrame:
-        """View `papers` = loaded papers with their derived columns."""
+    def _with(self, *sides: str) -> DataFrame:
+        """Loaded papers with the columns of the given side tables."""
         whole = self.spark.table("s2_papers")
-        for side in ("paper_flags", "paper_topics"):
-            if self.spark.catalog.tableExists(side):
-                whole = whole.join(self.spark.table(side), "corpusid", "left")
-        for flag in ("has_abstract", "has_fulltext"):
-            whole = add_typed_column(whole, flag, "boolean")
-        whole.createOrReplaceTempView("papers")
+        for side in sides:
+            whole = whole.join(self.spark.table(side), "corpusid", "left")
         return whole
 
+    def compose(self) -> None:
+        """View `papers`: loaded papers with all their derived columns."""
+        self._with("paper_flags", "paper_topics").createOrReplaceTempView("papers")
+
     def count(self) -> None:
-        papers = self.compose()
+        papers = self._with("paper_flags")
         for group in metrics.GROUPS:
             rows = metrics.compute_metrics(papers, group, ordered=False)
             table = self.publish(f"{group}_metrics", rows, year_column="year", mode="full")
@@ -158,7 +162,7 @@ class Database:
 
     def collect_fulltext(self, year_lt: int | None = 1991) -> None:
         texts = corpus.fulltext_corpus(
-            self.compose(), self.spark.table("s2orc_v2"), year_lt=year_lt
+            self._with("paper_flags"), self.spark.table("s2orc_v2"), year_lt=year_lt
         )
         self.publish("arxiv_fulltext", texts, year_column="year", mode=f"year < {year_lt}")
 
@@ -169,5 +173,6 @@ class Database:
         self.link()
         self.flag(mode)
         self.enrich(mode)
+        self.compose()
         self.count()
         self.collect_fulltext()

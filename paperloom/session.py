@@ -6,9 +6,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution does the run-time partition sizing; the rest keeps results
-# independent of the machine and lets Spark build runtime Bloom filters from key
-# sets that are too large to broadcast.
+# Adaptive execution sizes partitions at run time and may hash a measured small side instead
+# of sorting both. Bloom filters cover key sets that are too large to broadcast. A few
+# concurrent writers per task spare partitioned writes a sort of whole rows. The rest keeps
+# results independent of the machine.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,6 +20,7 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
