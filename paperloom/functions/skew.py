@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.staging import stage
 
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 200_000
+# Most keys that get salts. Any other key holds less than this fraction of the rows, which
+# is no more than one of many tasks can take, and joins unsalted.
+MAX_HOT_KEYS = 500_000
 SALT = "_salt"
 _HASH = "_key_hash"
 _SALTS = "_salts"
@@ -25,8 +28,9 @@ _SALTS = "_salts"
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
     """Hash and number of salts of every key with more than `rows_per_task` rows, if any.
 
-    At most (rows of `df`) / `rows_per_task` rows of 12 bytes, which bounds the broadcast:
-    1.2 MB for 10^11 rows. The result is staged, so both sides of a join share one count.
+    At most (rows of `df`) / `rows_per_task` keys, and never more than the `MAX_HOT_KEYS`
+    largest, so the broadcast stays below some 30 MB. The result is staged, so both sides of
+    a join share one count.
     """
     hot = (
         df.select(F.xxhash64(key).alias(_HASH))
@@ -36,7 +40,11 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
         .select(_HASH, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(_SALTS))
     )
     staged = stage(hot, "hot-keys")
-    return staged.frame if staged.rows else None
+    if staged.rows == 0:
+        return None
+    if staged.rows > MAX_HOT_KEYS:
+        return staged.frame.orderBy(F.desc(_SALTS), _HASH).limit(MAX_HOT_KEYS)
+    return staged.frame
 
 
 def _with_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:

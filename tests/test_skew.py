@@ -2,6 +2,7 @@ import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from paperloom.functions import skew
 from paperloom.functions.skew import SALT, hot_keys, replicate, salted_join, spread
 from paperloom.functions.staging import has_repeated, stage
 
@@ -46,6 +47,15 @@ def test_only_hot_keys_are_replicated(left, right):
     }
 
 
+def test_more_hot_keys_than_may_be_salted(left, right, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
+    (only,) = hot_keys(left, "key", 20).collect()
+    assert only["_salts"] == 50  # the 1000 rows of the hot key
+    salted = salted_join(left, right, "key", F.col("id"), "left", 20)
+    plain = left.join(right, "key", "left")
+    assert rows(salted, "id", "key", "v") == rows(plain, "id", "key", "v")
+
+
 def test_stage_measures_and_keeps_rows(left):
     staged = stage(left, "left")
     assert staged.rows == 3000 and 3000 * 48 < staged.bytes < 3000 * 120
