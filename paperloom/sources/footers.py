@@ -13,26 +13,28 @@ from pyspark.sql import functions as F
 _FOOTER = "path string, compressed bigint, rows bigint, uncompressed bigint"
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        rows, sizes = [], []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
-            with filesystem.open_input_file(inner) as file:
-                meta = pq.read_metadata(file)
-            rows.append(meta.num_rows)
-            sizes.append(sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)))
-        yield batch.assign(rows=rows, uncompressed=sizes)
-
-
 def parquet_footers(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """(path, compressed, rows, uncompressed) of each file below `path`.
 
     File names and sizes come from the listing; tasks then read footers only.
     """
+
+    # Local, so that executors get the function itself and need not have this package.
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            rows, sizes = [], []
+            for name in batch["path"]:
+                filesystem, inner = fs.FileSystem.from_uri(name)
+                with filesystem.open_input_file(inner) as file:
+                    meta = pq.read_metadata(file)
+                groups = (meta.row_group(i) for i in range(meta.num_row_groups))
+                rows.append(meta.num_rows)
+                sizes.append(sum(group.total_byte_size for group in groups))
+            yield batch.assign(rows=rows, uncompressed=sizes)
+
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -41,7 +43,7 @@ def parquet_footers(spark: SparkSession, path: str, pattern: str = "*.parquet")
         .select("path", F.col("length").alias("compressed"))
     )
     tasks = spark.sparkContext.defaultParallelism
-    return files.repartition(tasks).mapInPandas(_read_footers, _FOOTER)
+    return files.repartition(tasks).mapInPandas(read, _FOOTER)
 
 
 def estimate_size(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:

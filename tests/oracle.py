@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import time
-import warnings
 from pathlib import Path
 
 import duckdb
@@ -33,7 +32,6 @@ def canonical(frame: pd.DataFrame) -> list[tuple]:
 def compare(spark, conn, build, sql: str, folder: str) -> str | None:
     """None if equal, else what differs."""
     mine = build(spark, folder)
-    warnings.simplefilter("ignore", DeprecationWarning)
     theirs = conn.execute(sql)
     types = {d[0]: str(d[1]) for d in theirs.description}
     theirs = theirs.fetchdf()
@@ -48,7 +46,7 @@ def compare(spark, conn, build, sql: str, folder: str) -> str | None:
             return f"type of {name}: {kind} != {types[name]}"
     # Rows via Arrow so that integers next to NULLs stay integers.
     a = canonical(mine.toArrow().to_pandas(types_mapper=pd.ArrowDtype))
-    b = canonical(conn.execute(sql).to_arrow_table().to_pandas(types_mapper=pd.ArrowDtype))
+    b = canonical(conn.sql(sql).to_arrow_table().to_pandas(types_mapper=pd.ArrowDtype))
     if a == b:
         return None
     only_a, only_b = set(a) - set(b), set(b) - set(a)

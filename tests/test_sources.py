@@ -1,5 +1,8 @@
 import gzip
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from frames import rows
@@ -172,6 +175,19 @@ def test_size_estimate(spark, tmp_path):
     assert row["uncompressed_gb"] == round(exact / 2**30, 2)
 
 
+def test_workers_need_not_have_the_package(spark, tmp_path):
+    spark.range(10).coalesce(1).write.parquet(f"{tmp_path}/t")
+    repo = Path(footers.__file__).parents[2]
+    code = f"""
+import sys; sys.path.insert(0, {str(repo)!r})
+from pyspark.sql import SparkSession
+from paperloom.sources.footers import estimate_size
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert estimate_size(spark, {f"{tmp_path}/t"!r}).first()["total_rows"] == 10
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=180)
+
+
 def test_size_estimate_of_empty_sample_and_folder(spark, tmp_path):
     spark.range(0).coalesce(1).write.parquet(f"{tmp_path}/t")
     row = footers.estimate_size(spark, f"{tmp_path}/t").first()
