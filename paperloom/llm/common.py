@@ -9,7 +9,8 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paperloom.session import shared_folder
 
@@ -83,3 +84,16 @@ def text_groups(
         texts.extend(t or b"" for t in texts_of_batch[start:])
     if texts:
         yield columns, texts
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one where the frame has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
+def column(name: str) -> Column:
+    """A column by its exact name, dots and blanks included."""
+    return F.col("`" + name.replace("`", "``") + "`")

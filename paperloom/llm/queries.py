@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from paperloom.llm import lines
 from paperloom.llm.bpe import encode_decode
 from paperloom.llm.common import table
 
@@ -33,3 +35,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN,
         digest=True,
     )
+
+
+@register("op3_line_dedup", sql=lines.SQL.format(min_sites=10, max_share=0.5))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
