@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import lines
+from paperloom.llm import lines, quotes
 from paperloom.llm.bpe import encode_decode
 from paperloom.llm.common import table
 
@@ -41,3 +41,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.remove_boilerplate(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op2_quote_links", sql=quotes.SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
