@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.common import ship
 
+SLICE_ROWS = 500  # rows put together at a time
 BUCKET_BYTES = 8 * 1024 * 1024  # text of the corpus per vocabulary bucket
 
 _MESSAGE = "chunk binary, bucket int, payload binary"
@@ -106,6 +107,7 @@ def _ask(n_buckets: int):
             for bucket in np.unique(buckets):
                 places = pa.array(order[starts[bucket] : starts[bucket + 1]])
                 yield _message(name, int(bucket), _pack(place=places, word=words.take(places)))
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -116,6 +118,7 @@ def _send_positions(batches):
         starts = np.concatenate([[0], ends]).astype(np.int32)
         rows = pa.ListArray.from_arrays(pa.array(starts), positions)
         yield _message(name, -1, _pack(key=keys, positions=rows))
+        pa.default_memory_pool().release_unused()
 
 
 def _encode_bucket(path: str, pattern: str):
@@ -165,12 +168,19 @@ def _reassemble(path: str, digest: bool):
             known = pa.concat_tables(answers).sort_by("place").column("ids").combine_chunks()
         else:
             known = pa.array([], pa.list_(pa.int32()))
+        # Chunks of equal content share their name and their answers.
+        slices = (
+            chunk.slice(at, SLICE_ROWS)
+            for chunk in chunks
+            for at in range(0, chunk.num_rows, SLICE_ROWS)
+        )
         tables = []
-        for chunk in chunks:  # chunks of equal content share their name and their answers
+        for chunk in slices:
             rows = chunk.column("positions").combine_chunks()
             ids = known.take(rows.flatten())
             token_ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(False))])
-            starts = token_ends[rows.offsets.to_numpy()]
+            offsets = rows.offsets.to_numpy()
+            starts = token_ends[offsets - offsets[0]]
             flat = ids.flatten()
             decoded = pc.binary_join(_lists(token_bytes.take(flat), starts), b"")
             columns = {"doc_id": chunk.column("key").combine_chunks()}
@@ -183,6 +193,7 @@ def _reassemble(path: str, digest: bool):
                 columns["ids"] = _lists(flat, starts)
                 columns["decoded"] = decoded
             tables.append(pa.table(columns))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(tables)
 
     return run
