@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import lines, quotes
+from paperloom.llm import lines, quotes, toxicity
 from paperloom.llm.bpe import encode_decode
 from paperloom.llm.common import table
 
@@ -46,3 +46,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_quote_links", sql=quotes.SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+@register("op10_toxicity")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxic_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
