@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import lines, quotes, toxicity
+from paperloom.llm import lines, quotes, toxicity, warc
 from paperloom.llm.bpe import encode_decode
-from paperloom.llm.common import table
+from paperloom.llm.common import fresh_path, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +52,25 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.toxic_scores(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@register(
+    "op7_warc",
+    sql="""
+    WITH payloads AS (
+      SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+      FROM pages)
+    SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+      CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN 'revisit' ELSE 'response' END
+        AS record_type,
+      CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN first END AS refers_to
+    FROM payloads""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    records = written(warc.read_archive(spark, path).drop("payload"), "warc-records")
+    return warc.resolve_revisits(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
