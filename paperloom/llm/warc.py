@@ -290,10 +290,12 @@ def read_archive(
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """Revisits get size and digest of the response that they refer to."""
-    asked = records.filter("record_type = 'revisit'").select("refers_to").distinct()
+    asked = records.filter("record_type = 'revisit'").select(
+        F.col("refers_to").alias("page_id")
+    )
     found = stage(
         records.filter("record_type = 'response'")
-        .join(asked, F.col("page_id") == F.col("refers_to"), "left_semi")
+        .join(asked.distinct(), "page_id", "left_semi")
         .select(
             F.col("page_id").alias("refers_to"),
             F.col("payload_bytes").alias("full_bytes"),
