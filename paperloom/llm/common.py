@@ -8,7 +8,9 @@ import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,3 +99,23 @@ def unused(df: DataFrame, name: str) -> str:
 def column(name: str) -> Column:
     """A column by its exact name, dots and blanks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def batch_slices(
+    batches: Iterable[pa.RecordBatch], text: int, limit: int = GROUP_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with about `limit` bytes in column number `text`, at least one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def utf8_values(values: pa.Array) -> list[bytes]:
+    """Texts as UTF-8; a null text as empty bytes."""
+    return pc.fill_null(values.cast(pa.binary()), b"").to_pylist()

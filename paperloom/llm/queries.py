@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import lines, quotes, toxicity, warc
+from paperloom.llm import decontamination, lines, quotes, toxicity, warc
 from paperloom.llm.bpe import encode_decode
 from paperloom.llm.common import fresh_path, table, written
 
@@ -74,3 +74,18 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(records).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@register("op5_decontamination")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_items(docs, table(spark, sf_dir, "benchmark"))
+    matches = F.col("benchmark_matches")
+    best = F.array_min(F.transform(matches, lambda x: F.struct(x["errors"], x["item_id"])))
+    return found.select(
+        "doc_id",
+        (F.size(matches) > 0).alias("contaminated"),
+        F.size(matches).cast("bigint").alias("n_items"),
+        best["item_id"].alias("item_id"),
+        best["errors"].alias("errors"),
+    )
