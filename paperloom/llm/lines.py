@@ -61,6 +61,7 @@ def remove_boilerplate(
     lg_k: int = 12,
     text: str = "text",
     site: str = "source",
+    doc_id: str = "doc_id",
 ) -> DataFrame:
     """`docs` without the lines that at least `min_sites` distinct sites share.
 
@@ -74,8 +75,8 @@ def remove_boilerplate(
     key, drop = unused(docs, "line_key"), unused(docs, "line_drop")
     n_lines, n_removed = "n_lines", "n_removed"
     docs = docs.drop(n_lines, n_removed)
-    # Rows with the same text have the same lines to drop.
-    keyed = docs.withColumn(key, F.xxhash64(column(text)))
+    # Only rows alike in both share a key, and those have the same lines to drop.
+    keyed = docs.withColumn(key, F.xxhash64(column(doc_id), column(text)))
     lines = keyed.select(
         F.col(key).alias("key"),
         column(site).alias("site"),
