@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontamination, lines, quotes, toxicity, warc
+from paperloom.llm import decontamination, lines, ngrams, quotes, toxicity, warc
 from paperloom.llm.bpe import encode_decode
 from paperloom.llm.common import fresh_path, table, written
 
@@ -89,3 +89,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         best["item_id"].alias("item_id"),
         best["errors"].alias("errors"),
     )
+
+
+@register("op8_kneser_ney")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.held_out_scores(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
