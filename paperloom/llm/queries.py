@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontamination, lines, neighbours, ngrams, quotes, toxicity, warc
+from paperloom.llm import decontamination, lines, minhash, neighbours, ngrams, quotes, toxicity, warc
 from paperloom.llm.bpe import encode_decode
 from paperloom.llm.common import fresh_path, table, written
 
@@ -108,3 +108,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_query = F.pmod(F.col("vec_id"), F.lit(20)) == 0
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), is_query, k=20)
+
+
+@register("op1_minhash")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
