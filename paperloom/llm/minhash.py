@@ -19,7 +19,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import GROUP_BYTES, batch_slices, column, ship, text_groups, utf8_values, written
+from paperloom.llm.common import (
+    GROUP_BYTES,
+    batch_slices,
+    column,
+    ship,
+    text_groups,
+    unused,
+    utf8_values,
+    written,
+)
 from paperloom.llm.components import connected_components
 from paperloom.llm.words import ASCII_LOWER, mix, texts_to_words, windows
 
@@ -85,7 +94,7 @@ def short_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
-_SETS = "doc_id long, source long, n_shingles long, class long, keys array<long>"
+_SETS = "doc_id long, source long, text_hash long, n_shingles long, class long, keys array<long>"
 
 
 def _describe(batches):
@@ -105,11 +114,12 @@ def _describe(batches):
             [
                 pa.array(columns[0], pa.int64()),
                 pa.array(columns[1], pa.int64()),
+                pa.array(columns[2], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(classes, pa.int64()),
                 pa.array(keys, pa.list_(pa.int64())),
             ],
-            ["doc_id", "source", "n_shingles", "class", "keys"],
+            ["doc_id", "source", "text_hash", "n_shingles", "class", "keys"],
         )
 
 
@@ -281,7 +291,7 @@ def _remaining(live: DataFrame, components: DataFrame, texts: DataFrame, percent
 def near_duplicates(
     docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of `docs`.
+    """doc_id, n_shingles, component_id, kept and text_hash (xxhash64) of every row of `docs`.
 
     Texts are sets of five-word shingles; two are linked if their intersection is at least
     `percent` hundredths of their union. component_id is the smallest doc_id that links reach,
@@ -299,7 +309,10 @@ def near_duplicates(
     # A text is fetched again by its source: the doc_id, or a hash where there is none.
     source = F.coalesce(column(key).cast("long"), F.xxhash64(text_column))
     rows = docs.select(
-        column(key).cast("long").alias("doc_id"), source.alias("source"), text_column.alias("text")
+        column(key).cast("long").alias("doc_id"),
+        source.alias("source"),
+        F.xxhash64(text_column).alias("text_hash"),
+        text_column.alias("text"),
     )
     sets = written(rows.mapInArrow(_describe, _SETS), "shingle-sets")
     classes = (
@@ -363,11 +376,45 @@ def near_duplicates(
     known = written(known, "classes")
     smallest = known.groupBy("component").agg(F.min("smallest").alias("component_id"))
     named = known.join(smallest, "component").select("class", "component_id")
-    result = sets.select("doc_id", "n_shingles", "class").join(named, "class", "left")
+    result = sets.select("doc_id", "text_hash", "n_shingles", "class").join(named, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "text_hash",
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """`docs` with one row of each group of near-duplicates, that with the smallest id.
+
+    Rows with empty sets all stay. Of kept rows that share id and text one stays. Without an id
+    in a whole group all its rows have the same claim; one for each text stays. All columns are
+    kept as they are.
+    """
+    names = [unused(docs, n) for n in ("near_mark", "near_row", "near_text", "near_hash")]
+    mark, row, hashed, own = names
+    found = near_duplicates(docs, percent, key, text)
+    # Kept rows by id; a row without words needs no decision.
+    kept = (
+        found.filter(F.col("kept") & (F.col("n_shingles") > 0))
+        .groupBy("doc_id", "text_hash")
+        .agg(F.count(F.lit(1)).alias(mark))
+        .withColumnsRenamed({"doc_id": row, "text_hash": hashed})
+    )
+    words = F.coalesce(column(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    chosen = (
+        docs.filter(words)
+        .withColumn(own, F.xxhash64(column(text)))
+        .join(kept, column(key).eqNullSafe(F.col(row)) & (F.col(own) == F.col(hashed)))
+    )
+    once = chosen.filter(F.col(mark) == 1)
+    several = chosen.filter(F.col(mark) > 1).dropDuplicates([key, text])
+    return (
+        once.unionByName(several).select(*[column(c) for c in docs.columns])
+        .unionByName(docs.filter(~words))
     )

@@ -112,7 +112,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op1_minhash")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return found.drop("text_hash")
 
 
 @register("op4_fixed_block_anchors")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import column, ship, text_groups, written
+from paperloom.llm.common import batch_slices, column, ship, text_groups, written
 
 SAMPLE_ROWS = 40_000  # labelled rows to learn from, at most
 LEXICON_TERMS = 2_000
@@ -375,15 +375,39 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def drop_toxic(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+    """`docs` without the rows whose text is predicted toxic; all columns stay as they are."""
+    ship(docs.sparkSession)
+    terms, ordinary = model["terms"], model["ordinary"]
+    w, at = np.array(model["weights"]), docs.columns.index(text)
+    # The odds at which a score reaches the threshold.
+    limit = math.log(THRESHOLD / (1 - THRESHOLD))
+
+    def run(batches):
+        for part in batch_slices(batches, at):
+            texts = pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(part.num_rows)), part.column(at)], ["row", "text"]
+            )
+            for columns, rows in _featured([texts], terms, ordinary):
+                z = np.array(rows).reshape(-1, FEATURES) @ w[:-1] + w[-1]
+                yield part.take(pa.array(np.array(columns[0])[z < limit]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def in_fold(doc_id, fold: int, folds: int):
     return F.crc32(doc_id.cast("string")) % folds == fold
 
 
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Labels outside the held-out third."""
+    return labels.filter(~in_fold(F.col("doc_id"), 1, 3))
+
+
 def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores of all documents; learned from labelled rows outside the held-out third.
 
     held_out: crc32 of doc_id as text leaves 1 when divided by 3 (null for a null doc_id).
     """
-    train = labels.filter(~in_fold(F.col("doc_id"), 1, 3))
-    scored = score(docs, learn(docs, train))
+    scored = score(docs, learn(docs, training_labels(labels)))
     return scored.withColumn("held_out", in_fold(F.col("doc_id"), 1, 3))
