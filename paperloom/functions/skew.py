@@ -14,12 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.staging import stage
+from paperloom.functions.staging import BROADCAST_BYTES, stage
 
 ROWS_PER_TASK = 200_000
-# Most keys that get salts. Any other key holds less than this fraction of the rows, which
-# is no more than one of many tasks can take, and joins unsalted.
-MAX_HOT_KEYS = 500_000
 SALT = "_salt"
 _HASH = "_key_hash"
 _SALTS = "_salts"
@@ -28,9 +25,8 @@ _SALTS = "_salts"
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
     """Hash and number of salts of every key with more than `rows_per_task` rows, if any.
 
-    At most (rows of `df`) / `rows_per_task` keys, and never more than the `MAX_HOT_KEYS`
-    largest, so the broadcast stays below some 30 MB. The result is staged, so both sides of
-    a join share one count.
+    The result is staged, so both sides of a join share one count. Its size is measured: it is
+    broadcast below `BROADCAST_BYTES`, and joined like any other table beyond.
     """
     hot = (
         df.select(F.xxhash64(key).alias(_HASH))
@@ -42,14 +38,12 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
     staged = stage(hot, "hot-keys")
     if staged.rows == 0:
         return None
-    if staged.rows > MAX_HOT_KEYS:
-        return staged.frame.orderBy(F.desc(_SALTS), _HASH).limit(MAX_HOT_KEYS)
-    return staged.frame
+    return F.broadcast(staged.frame) if staged.fits(BROADCAST_BYTES) else staged.frame
 
 
 def _with_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     hashed = df.withColumn(_HASH, F.xxhash64(key))
-    return hashed.join(F.broadcast(hot), _HASH, "left").withColumn(
+    return hashed.join(hot, _HASH, "left").withColumn(
         _SALTS, F.coalesce(_SALTS, F.lit(1))
     )
 

@@ -1,7 +1,9 @@
 """One record per DOI.
 
 The best record has, in this order: most citations, most authors, an abstract, most topics,
-smallest id. Unknown counts rank last. Records without a DOI are dropped.
+smallest id. Unknown counts rank last, and so does a missing id. Records without a DOI are
+dropped. An id is what a record is found by: where the best record has none, its DOI has no
+result, whichever way the records are joined.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def _rank(id_col: str) -> list[Column]:
         parts += _most_first(count)
     parts.append(F.col("_no_abstract"))
     parts += _most_first("_topics")
-    return [*parts, F.col(id_col).alias("id")]
+    return [*parts, F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id")]
 
 
 def _most_first(count: str) -> list[Column]:
@@ -59,11 +61,16 @@ def _sortable(key: str) -> Column:
 def best_records(
     works: DataFrame, columns: Sequence[str] = (), key: str = "doi", id_col: str = "id"
 ) -> DataFrame:
-    """(key, id, *columns, copies) of the best record per key.
+    """(key, id, *columns, copies) of the best record per key; none without an id.
 
     One aggregate over narrow columns. Its map-side half leaves one row per key and task,
     so a key with a third of all rows costs no more than any other.
     """
+    return _winners(works, columns, key, id_col).filter(F.col(id_col).isNotNull())
+
+
+def _winners(works: DataFrame, columns: Sequence[str], key: str, id_col: str) -> DataFrame:
+    """`best_records`, also for keys whose best record has no id."""
     payload = [F.struct(*columns).alias("payload")] if columns else []
     best = F.min(F.struct(*_rank(id_col), *payload))
     return (
@@ -106,17 +113,19 @@ def dedup_works(
         return (
             _counted(works, key, rest)
             .withColumn("_rn", F.row_number().over(ranked))
-            .filter(F.col("_rn") == 1)
+            .filter((F.col("_rn") == 1) & F.col(id_col).isNotNull())
             .select(*works.columns)
         )
 
-    copied = best_records(works, key=key, id_col=id_col).filter(F.col("copies") > 1)
-    winners = stage(copied.select(key, F.col(id_col).alias("_keep")), "doi-winners")
+    copied = _winners(works, (), key, id_col).filter(F.col("copies") > 1)
+    keep = [F.col(id_col).alias("_keep"), F.lit(True).alias("_copied")]
+    winners = stage(copied.select(key, *keep), "doi-winners")
     if winners.fits(broadcast_bytes):
         joined = with_key.join(F.broadcast(winners.frame), key, "left")
     else:
         joined = salted_join(
             with_key, winners.frame, key, F.col(id_col), "left", rows_per_task, hash_right=True
         )
-    kept = joined.filter(F.col("_keep").isNull() | (F.col(id_col) == F.col("_keep")))
+    single = F.col("_copied").isNull() & F.col(id_col).isNotNull()
+    kept = joined.filter(single | (F.col(id_col) == F.col("_keep")))
     return kept.select(*works.columns)

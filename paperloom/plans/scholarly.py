@@ -1,8 +1,10 @@
 """The whole database: load, deduplicate, link, enrich, count and export.
 
-Derived columns live in side tables keyed by `corpusid`, so reloading the papers keeps them,
-and filling them never moves the wide paper columns. Every step writes a new version, repoints
-its view and appends a record to the run log; steps after a failure can be run again.
+Derived columns live in side tables with one row per `corpusid`, so reloading the papers keeps
+them, filling them never moves the wide paper columns, and papers that repeat an id share what
+is known of it. Every step writes a new version, repoints its view and appends a record to the
+run log. Steps open their tables through that log, so they can be run again after a failure, or
+each in a session of its own.
 """
 
 from __future__ import annotations
@@ -19,6 +21,12 @@ from paperloom.operators import audit, corpus, dedup, enrich, link, metrics, tre
 from paperloom.sources import export, scan, tables
 
 
+# Tables that stay where their files came, and those that are loaded, with their years' types.
+_EXTERNAL = ("s2_abstracts", "s2orc_v2")
+_LOADED = ("oa_works", "s2_papers")
+_YEARS = {"publication_year": "int", "year": "bigint"}
+
+
 def topic_years(works: DataFrame, papers: DataFrame) -> DataFrame:
     """Linked papers per year and primary topic."""
     lookup = link.papers_lookup(papers, dedup.best_records(works, ["publication_year"]))
@@ -84,13 +92,33 @@ class Database:
         path = audit.latest_path(self.spark, self.log, job)
         return None if path is None else tables.table_at(self.spark, path)
 
-    def _state(self, job: str, keys: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """All paper keys with the values an earlier run of `job` gave them."""
+    def table(self, job: str) -> DataFrame:
+        """The current version of table `job`, which an earlier step must have made."""
+        if job in _EXTERNAL:
+            path = audit.latest_path(self.spark, self.log, job)
+            found = None if path is None else scan.scan_parquet(self.spark, path, folder_columns=True)
+        else:
+            found = self.previous(job)
+        if found is None:
+            raise ValueError(f"no table {job} below {self.root}: run the step that makes it")
+        # Folder names come back as the narrowest type.
+        types = {c: t for c, t in _YEARS.items() if c in found.columns and job in _LOADED}
+        return found.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+
+    def _state(self, job: str, columns: Sequence[str]) -> DataFrame:
+        """Each paper id once, with the values an earlier run of `job` gave it."""
+        keys = self.table("s2_papers").select("corpusid").distinct().filter("corpusid IS NOT NULL")
         before = self.previous(job)
         if before is None:
             return keys
         return keys.join(before.select("corpusid", *columns), "corpusid", "left")
 
+    def _report(self, job: str, report: DataFrame, mode: str) -> None:
+        """Log how many rows a step has updated, and how many have a value now."""
+        names = {"total": "total_rows", "covered": "rows_covered"}
+        audit.append_run(self.log, report.withColumnsRenamed(names), job, mode=mode)
+        self.jobs.append(job)
+
     # ---- steps ----
 
     def load(self, inputs: Inputs, test_year: int | None = None) -> None:
@@ -98,23 +126,28 @@ class Database:
             ("oa_works", inputs.works, "publication_year"),
             ("s2_papers", inputs.papers, "year"),
         ):
-            kept = scan.year_filter(self.spark.read.parquet(path), year, test_year)
+            kept = scan.year_filter(
+                scan.scan_parquet(self.spark, path, folder_columns=True), year, test_year
+            )
             mode = f"year {test_year}" if test_year else "all years"
             self.publish(job, kept, year, year, mode=mode, source=path)
         merged = scan.scan_union_by_name(self.spark, inputs.sources, inputs.drop_from_sources)
         self.publish("oa_sources", merged, mode="all", source=",".join(inputs.sources))
-        scan.view_parquet(self.spark, "s2_abstracts", inputs.abstracts)
-        scan.view_parquet(self.spark, "s2orc_v2", inputs.fulltext)
+        self.unique_ids = None
+        for job, path in (("s2_abstracts", inputs.abstracts), ("s2orc_v2", inputs.fulltext)):
+            scan.view_parquet(self.spark, job, path)
+            audit.append_run(self.log, self.spark.range(1), job, mode="view", source=path, path=path)
+            self.jobs.append(job)
 
     def link(self) -> None:
-        works, papers = self.spark.table("oa_works"), self.spark.table("s2_papers")
+        works, papers = self.table("oa_works"), self.table("s2_papers")
         best = dedup.best_records(works, ["publication_year"])
         pairs = link.papers_lookup(papers, best)
         self.publish("papers_lookup", pairs, year_column="publication_year", mode="full")
 
     def deduplicate(self) -> DataFrame:
         """View `oa_works_deduped` over the current works."""
-        works = self.spark.table("oa_works")
+        works = self.table("oa_works")
         self.unique_ids = not has_repeated(works, "id")
         deduped = dedup.dedup_works(works, unique_ids=self.unique_ids)
         deduped.createOrReplaceTempView("oa_works_deduped")
@@ -122,30 +155,34 @@ class Database:
 
     def flag(self, mode: str = "incremental") -> None:
         flags = {"has_abstract": "s2_abstracts", "has_fulltext": "s2orc_v2"}
-        keys = self.spark.table("s2_papers").select("corpusid")
-        state = self._state("paper_flags", keys, list(flags))
-        others = {flag: self.spark.table(other) for flag, other in flags.items()}
+        state = self._state("paper_flags", list(flags))
+        others = {flag: self.table(other) for flag, other in flags.items()}
+        for flag in flags:
+            if flag not in state.columns:
+                state = state.withColumn(flag, F.lit(None).cast("boolean"))
         self.publish("paper_flags", enrich.flag_all(state, others, mode=mode), mode=mode)
+        for flag, other in others.items():
+            self._report(flag, enrich.flag_report(state, other, "corpusid", flag, mode), mode)
 
     def enrich(self, mode: str = "incremental") -> None:
-        keys = self.spark.table("s2_papers").select("corpusid")
-        columns = ["oa_topics", "oa_concepts", "oa_primary_topic"]
-        state = self._state("paper_topics", keys, columns)
-        filled = enrich.enrich_topics(
-            state,
-            self.spark.table("papers_lookup"),
-            self.spark.table("oa_works"),
-            mode,
-            unique_ids=bool(self.unique_ids),
-        )
+        state = self._state("paper_topics", ["oa_topics", "oa_concepts", "oa_primary_topic"])
+        sides = self.table("papers_lookup"), self.table("oa_works")
+        unique = bool(self.unique_ids)
+        filled = enrich.enrich_topics(state, *sides, mode, unique_ids=unique)
         self.publish("paper_topics", filled, mode=mode)
+        report = enrich.topic_report(state, *sides, mode, unique_ids=unique)
+        self._report("oa_topics", report, mode)
 
     def _with(self, *sides: str) -> DataFrame:
-        """Loaded papers with the columns of the given side tables."""
-        whole = self.spark.table("s2_papers")
+        """Loaded papers with the columns of the given side tables.
+
+        A paper without an id is in no other table: its flags are FALSE.
+        """
+        whole = self.table("s2_papers")
         for side in sides:
-            whole = whole.join(self.spark.table(side), "corpusid", "left")
-        return whole
+            whole = whole.join(self.table(side), "corpusid", "left")
+        flags = [c for c in ("has_abstract", "has_fulltext") if c in whole.columns]
+        return whole.withColumns({c: F.coalesce(c, F.lit(False)) for c in flags})
 
     def compose(self) -> None:
         """View `papers`: loaded papers with all their derived columns."""
@@ -157,12 +194,17 @@ class Database:
             rows = metrics.compute_metrics(papers, group, ordered=False)
             table = self.publish(f"{group}_metrics", rows, year_column="year", mode="full")
             export.export_metrics(table, path=f"{self.root.rstrip('/')}/export/{group}_metrics")
-        topics = trends.topic_counts(self.spark.table("oa_works"))
-        self.publish("topic_counts", topics, year_column="publication_year", mode="full")
+        counts = trends.topic_counts(self.table("oa_works"))
+        counts = self.publish("topic_counts", counts, year_column="publication_year", mode="full")
+        self.publish("topic_missing", trends.missing_topic_share(counts), mode="full")
+        for column in ("subfield_name", "topic_name"):
+            shares = trends.trend_share(trends.trend(counts, column))
+            self.publish(column.replace("_name", "_trend"), shares, mode="full")
+        self.publish("topic_heatmap", trends.heatmap(counts), mode="full")
 
     def collect_fulltext(self, year_lt: int | None = 1991) -> None:
         texts = corpus.fulltext_corpus(
-            self._with("paper_flags"), self.spark.table("s2orc_v2"), year_lt=year_lt
+            self._with("paper_flags"), self.table("s2orc_v2"), year_lt=year_lt
         )
         self.publish("arxiv_fulltext", texts, year_column="year", mode=f"year < {year_lt}")
 

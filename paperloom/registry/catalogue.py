@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import list_length
@@ -13,8 +13,8 @@ from paperloom.functions.nested import add_typed_column
 from paperloom.functions.staging import stage
 from paperloom.operators import audit, corpus, dedup, enrich, link, metrics, trends
 from paperloom.plans.scholarly import topic_years
-from paperloom.registry.fixtures import Tables, with_tables
-from paperloom.schemas import TOPICS, struct_of
+from paperloom.registry.fixtures import SQL, Tables, with_tables
+from paperloom.schemas import TABLES, TOPICS, struct_of
 from paperloom.session import shared_folder
 from paperloom.sources import export, footers, releases, scan, tables
 
@@ -63,6 +63,43 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@register("scan_parquet_tree", sql="SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders")
+def _(t: Tables) -> DataFrame:
+    # Files at the top, files in a plain folder, and a part in folders by year.
+    orders = t.given("orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    root = written(t, orders.filter("year < 1997"), "orders")
+    orders.filter("year = 1997").write.parquet(f"{root}/more/deep")
+    orders.filter("year > 1997").write.partitionBy("year").parquet(f"{root}/late")
+    return scan.scan_parquet(t.spark, root, folder_columns=True).select("o_orderkey", "year")
+
+
+_DECLARED_SQL = """
+    SELECT 'W' || doc_id AS id, 1890 + doc_id % 140 AS publication_year, lang AS type,
+      CAST(NULL AS VARCHAR) AS first_topic, 1 AS n_columns_missing FROM documents"""
+
+
+@register("declared_works", sql=_DECLARED_SQL)
+def _(t: Tables) -> DataFrame:
+    """JSON lines through the declared schema of works: what a line lacks is NULL."""
+    line = F.to_json(
+        F.expr(
+            "named_struct('id', concat('W', doc_id), 'type', lang, "
+            "'publication_year', 1890 + doc_id % 140, 'no_such_column', 1)"
+        )
+    )
+    source = fresh(t, "works-json")
+    t.given("documents").select(line.alias("value")).write.text(source)
+    works = struct_of(TABLES["works"])
+    good, _bad = releases.ingest_json(t.spark, source, fresh(t, "works"), works)
+    return good.select(
+        "id",
+        F.col("publication_year").cast("bigint").alias("publication_year"),
+        "type",
+        F.get("topics", F.lit(0))["display_name"].alias("first_topic"),
+        F.when(F.col("doi").isNull(), 1).otherwise(0).alias("n_columns_missing"),
+    )
+
+
 def _source_vintages(t: Tables) -> list[str]:
     """Two vintages of a sources table: one lacks a column, one changes the type of another."""
     old = t.given("supplier").select(
@@ -276,6 +313,16 @@ def _(t: Tables) -> DataFrame:
     return _work_columns(dedup.dedup_works(t.works, unique_ids=False))
 
 
+_HOLEY = "(SELECT * REPLACE (CASE WHEN id NOT LIKE '%3' THEN id END AS id) FROM works) AS holey"
+_HOLEY_SQL = SQL["deduped"].replace("(works,", "(holey,").replace("FROM works", f"FROM {_HOLEY}")
+
+
+@register("dedup_works_missing_ids", "works", sql=f"{_WORK_COLUMNS} FROM ({_HOLEY_SQL})")
+def _(t: Tables) -> DataFrame:
+    some = F.when(~F.col("id").like("%3"), F.col("id"))
+    return _work_columns(dedup.dedup_works(t.works.withColumn("id", some), unique_ids=True))
+
+
 @register(
     "best_records",
     "deduped",
@@ -532,6 +579,15 @@ def _(t: Tables) -> DataFrame:
     return _corpus(t).drop("created_at")
 
 
+@register(
+    "fulltext_corpus_range",
+    "corpus",
+    sql=f"{_CORPUS_SQL} AND corpusid >= 200 AND corpusid < 700",
+)
+def _(t: Tables) -> DataFrame:
+    return _corpus(t, id_range=(200, 700)).drop("created_at")
+
+
 @register("fulltext_corpus_shuffled", "corpus", sql=_CORPUS_SQL)
 def _(t: Tables) -> DataFrame:
     return _corpus(t, broadcast_bytes=0).drop("created_at")
@@ -704,19 +760,21 @@ _GIVEN = (
 ).split()
 
 
-@register("estimate_size")
-def _(t: Tables) -> DataFrame:
-    return footers.estimate_size(t.spark, t.folder)
-
-
 @register(
-    "estimate_size_rows",
+    "estimate_size",
     sql=f"""
-    SELECT count(*) AS n_files, CAST(sum(n) AS BIGINT) AS total_rows
+    SELECT CAST(sum(n) AS BIGINT) AS total_rows, TRUE AS has_files, TRUE AS sizes_fit
     FROM ({" UNION ALL ".join(f"SELECT count(*) AS n FROM {name}" for name in _GIVEN)})""",
 )
 def _(t: Tables) -> DataFrame:
-    return footers.estimate_size(t.spark, t.folder).select("n_files", "total_rows")
+    # SQL cannot see files: of their number and sizes it can only say what must hold.
+    size = footers.estimate_size(t.spark, t.folder)
+    fit = (F.col("compressed_gb") >= 0) & (F.col("uncompressed_gb") >= F.col("compressed_gb") / 2)
+    return size.select(
+        "total_rows",
+        (F.col("n_files") >= len(_GIVEN)).alias("has_files"),
+        (fit & (F.col("estimated_memory_gb") >= 0)).alias("sizes_fit"),
+    )
 
 
 @register(
@@ -767,12 +825,17 @@ def _(t: Tables) -> DataFrame:
 @register(
     "recent_runs",
     "papers",
-    sql="SELECT job, total_rows FROM ("
+    "works",
+    sql="SELECT 1 AS place, job, total_rows FROM ("
     + _STATS_SQL.format(job="load_papers", year="year", table="papers")
+    + ") UNION ALL SELECT 2, job, total_rows FROM ("
+    + _STATS_SQL.format(job="load_works", year="publication_year", table="works")
     + ")",
 )
 def _(t: Tables) -> DataFrame:
-    return audit.recent_runs(t.spark, _logged_loads(t), n=1).select("job", "total_rows")
+    recent = audit.recent_runs(t.spark, _logged_loads(t))
+    newest = Window.orderBy(F.desc("run_id"))  # of the 20 rows of the report
+    return recent.select(F.row_number().over(newest).alias("place"), "job", "total_rows")
 
 
 # ---- across jobs ---------------------------------------------------------------------------

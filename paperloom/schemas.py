@@ -1,7 +1,7 @@
 """Declared table schemas.
 
 Fixed values: column names, types and nesting follow the published layouts of the two
-corpora, so they are written out in full. UUIDs are kept as strings.
+corpora; parts that several tables share are written once. UUIDs are kept as strings.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ PAPERS = """
 
 RUN_LOG = """
     run_id BIGINT, recorded_at TIMESTAMP, job STRING, mode STRING, source STRING, path STRING,
-    total_rows BIGINT, rows_updated BIGINT, distinct_years BIGINT, min_year BIGINT, max_year BIGINT,
+    total_rows BIGINT, rows_updated BIGINT, rows_covered BIGINT, distinct_years BIGINT, min_year BIGINT, max_year BIGINT,
     elapsed_seconds DOUBLE
 """
 

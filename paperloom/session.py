@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,9 +41,15 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: `spark.checkpoint.dir`, or a temporary one if unset."""
+    """Folder all executors can reach: `spark.checkpoint.dir`.
+
+    Unset, it is a temporary folder where driver and executors are one process, and an error on
+    a cluster, whose machines would each write to a disk of their own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="paperloom-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")

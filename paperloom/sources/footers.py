@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.sources.scan import scan_parquet
+
 _FOOTER = "path string, compressed bigint, rows bigint, uncompressed bigint"
 
 
@@ -21,13 +22,22 @@ def parquet_footers(spark: SparkSession, path: str, pattern: str = "*.parquet")
 
     # Local, so that executors get the function itself and need not have this package.
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import quote
+
         import pyarrow.parquet as pq
         from pyarrow import fs
 
         for batch in batches:
             rows, sizes = [], []
             for name in batch["path"]:
-                filesystem, inner = fs.FileSystem.from_uri(name)
+                scheme, _, rest = name.partition(":")
+                if scheme == "file":  # names come with blanks and marks as they are
+                    filesystem, inner = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                    filesystem, inner = fs.FileSystem.from_uri(
+                        f"{scheme}:{quote(rest, safe='/:@=+,')}"
+                    )
                 with filesystem.open_input_file(inner) as file:
                     meta = pq.read_metadata(file)
                 groups = (meta.row_group(i) for i in range(meta.num_row_groups))
@@ -81,24 +91,19 @@ def estimate_size(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
 def source_probe(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
     """(source, readable, message) per source: can at least one row be read?
 
-    `sources` maps names to paths. At most one row of each is read.
+    `sources` maps names to paths of trees of any depth. Each is probed by itself, at most one
+    row being read, so whatever fails about one says nothing about the others.
     """
-    probes = []
+    found = []
     for name, path in sources.items():
         try:
-            rows = spark.read.parquet(path).limit(1).agg(F.count(F.lit(1)).alias("n"))
-            readable = F.col("n") == 1
-            message = F.when(readable, "ok").otherwise("no rows")
-        except AnalysisException as error:
-            rows = spark.range(1)
-            readable = F.lit(False)
-            message = F.lit(error.getCondition() or str(error))
-        probes.append(
-            rows.select(
-                F.lit(name).alias("source"), readable.alias("readable"), message.alias("message")
-            )
-        )
-    return reduce(DataFrame.unionAll, probes)
+            # The scan stays unpruned: a row counts as readable if all of it can be read.
+            some = scan_parquet(spark, path).limit(1).collect()
+            found.append((name, bool(some), "ok" if some else "no rows"))
+        except Exception as error:
+            reason = error.getCondition() if isinstance(error, PySparkException) else None
+            found.append((name, False, reason or str(error).strip().split("\n")[0]))
+    return spark.createDataFrame(found, "source string, readable boolean, message string")
 
 
 def all_readable(probe: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +17,59 @@ def scan_parquet(
     path: str | Sequence[str],
     pattern: str = "*.parquet",
     schema: T.StructType | None = None,
+    folder_columns: bool = False,
 ) -> DataFrame:
     """All Parquet files below `path` whose name fits `pattern`, at any depth.
 
-    For plain trees. Read a tree with `column=value` folders through `spark.read.parquet`
-    instead: the recursive listing used here does not turn folder names into columns.
+    With `folder_columns`, folders named `column=value` become columns, also where other files of the tree lie outside
+    such folders: those keep the column of their own, or get NULL. Values are whole numbers if
+    all of them are, else strings.
     """
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*([path] if isinstance(path, str) else path))
+    roots = [path] if isinstance(path, str) else list(path)
+    frame = reader.parquet(*roots)
+    if not folder_columns:
+        return frame
+    values = _folder_values(frame, roots)
+    if values and schema is None:
+        # Files in such folders lack the column that others of the tree may have.
+        frame = reader.option("mergeSchema", "true").parquet(*roots)
+    return _with_folder_columns(frame, values)
+
+
+_FOLDER_VALUE = re.compile(r"/([^/=]+)=([^/]*)(?=/)")
+
+
+def _folder_values(frame: DataFrame, roots: Sequence[str]) -> dict[str, set[str]]:
+    """Values by column of the `column=value` folders below the roots, from Spark's listing."""
+    values: dict[str, set[str]] = {}
+    for file in frame.inputFiles():
+        for name, value in _FOLDER_VALUE.findall(file):
+            values.setdefault(name, set()).add(unquote(value))
+    above = {name for root in roots for name, _ in _FOLDER_VALUE.findall(f"/{root}/")}
+    return {name: found for name, found in values.items() if name not in above}
+
+
+def _with_folder_columns(frame: DataFrame, values: dict[str, set[str]]) -> DataFrame:
+    for name in values:
+        text = F.regexp_extract(
+            F.col("_metadata.file_path"), f"/{re.escape(name)}=([^/]*)/", 1
+        )
+        text = F.nullif(F.url_decode(text), F.lit(""))
+        text = F.nullif(text, F.lit("__HIVE_DEFAULT_PARTITION__"))
+        known = values[name] - {"__HIVE_DEFAULT_PARTITION__"}
+        column = unquote(name)
+        if column in frame.columns:
+            kind = frame.schema[column].dataType
+            found = F.coalesce(text.cast(kind), F.col(f"`{column}`"))
+        else:
+            whole = all(re.fullmatch(r"-?\d{1,18}", v) for v in known)
+            longest = max(map(len, known), default=0)
+            found = text.cast(("int" if longest < 10 else "bigint") if whole else "string")
+        frame = frame.withColumn(column, found)
+    return frame
 
 
 def scan_union_by_name(
@@ -48,7 +93,7 @@ def scan_union_by_name(
 
 def view_parquet(spark: SparkSession, name: str, path: str) -> DataFrame:
     """(Re)create view `name` over the files below `path`; reads no data, fails without files."""
-    frame = scan_parquet(spark, path)
+    frame = scan_parquet(spark, path, folder_columns=True)
     frame.createOrReplaceTempView(name)
     return frame
 

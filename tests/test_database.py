@@ -106,6 +106,51 @@ def test_reloading_keeps_derived_data_and_flags_follow_the_mode(spark, inputs, b
     assert changed["has_abstract"] is True
 
 
+def test_steps_run_in_a_session_of_their_own(spark, built):
+    later = Database(spark.newSession(), built.root)
+    later.link()
+    later.flag()
+    later.enrich()
+    later.count()
+    log = audit.run_log(spark, built.log).filter("job = 'has_abstract'")
+    first, last = log.orderBy("run_id").first(), log.orderBy(F.desc("run_id")).first()
+    assert first["rows_updated"] == first["rows_covered"] > 0 and last["rows_updated"] == 0
+    shares = spark.table("topic_trend").groupBy("year_bin").agg(F.sum("share").alias("s"))
+    assert all(abs(r["s"] - 1) < 1e-9 for r in shares.collect())
+
+
+def test_repeated_and_missing_ids_keep_their_rows(spark, inputs, tmp_path):
+    papers = spark.read.parquet(inputs.papers)
+    repeated = papers.filter("year BETWEEN 1900 AND 2025").limit(20)
+    nameless = repeated.limit(3).withColumn("corpusid", F.lit(None).cast("bigint"))
+    papers.unionAll(repeated).unionAll(nameless).write.parquet(f"{tmp_path}/papers")
+    db = Database(spark, f"{tmp_path}/database")
+    db.load(Inputs(**{**vars(inputs), "papers": f"{tmp_path}/papers"}))
+    db.link()
+    n = spark.table("s2_papers").count()
+    ids = spark.table("s2_papers").select("corpusid").distinct().filter("corpusid IS NOT NULL").count()
+    for _ in range(3):
+        db.flag()
+        db.enrich()
+        db.compose()
+        assert spark.table("paper_flags").count() == spark.table("paper_topics").count() == ids
+        whole = spark.table("papers")
+        assert whole.count() == n and whole.filter("has_abstract IS NULL").count() == 0
+
+
+def test_load_reads_files_at_every_depth(spark, inputs, tmp_path):
+    papers = spark.read.parquet(inputs.papers)
+    early = papers.filter("year < 1950")
+    early.write.parquet(f"{tmp_path}/papers")
+    papers.filter("year >= 1950 AND year < 1990").write.parquet(f"{tmp_path}/papers/more/deep")
+    papers.filter("year >= 1990").write.partitionBy("year").parquet(f"{tmp_path}/papers/late")
+    db = Database(spark, f"{tmp_path}/database")
+    db.load(Inputs(**{**vars(inputs), "papers": f"{tmp_path}/papers"}))
+    expected = papers.filter("year BETWEEN 1900 AND 2026")
+    loaded = spark.table("s2_papers")
+    assert rows(loaded, "corpusid", "year") == rows(expected, "corpusid", "year")
+
+
 def test_one_year(spark, inputs, tmp_path):
     db = Database(spark, str(tmp_path))
     db.build(inputs, test_year=1980)

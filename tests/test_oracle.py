@@ -3,7 +3,8 @@
 import pytest
 from oracle import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from paperloom.registry.catalogue import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,21 +15,15 @@ def conn():
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"estimate_size"}
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, conn, name):
-    assert compare(spark, conn, queries()[name], oracle_sql()[name], FOLDER) is None
+    assert compare(spark, conn, QUERIES[name], ORACLE[name], FOLDER) is None
 
 
 def test_entry(spark):
     result = entry(spark)
     assert result.columns == ["year", "topic_name", "num_papers"]
     assert result.count() > 0
-
-
-def test_estimate_size(spark):
-    row = queries()["estimate_size"](spark, FOLDER).first()
-    assert row["n_files"] == 14 and row["total_rows"] > 0

@@ -47,10 +47,10 @@ def test_only_hot_keys_are_replicated(left, right):
     }
 
 
-def test_more_hot_keys_than_may_be_salted(left, right, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
-    (only,) = hot_keys(left, "key", 20).collect()
-    assert only["_salts"] == 50  # the 1000 rows of the hot key
+def test_more_hot_keys_than_may_be_broadcast(left, right, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 1)
+    hot = {r["_salts"] for r in hot_keys(left, "key", 20).collect()}
+    assert 50 in hot and len(hot) > 1  # the 1000 rows of the hot key, and every other one
     salted = salted_join(left, right, "key", F.col("id"), "left", 20)
     plain = left.join(right, "key", "left")
     assert rows(salted, "id", "key", "v") == rows(plain, "id", "key", "v")

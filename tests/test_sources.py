@@ -200,9 +200,17 @@ def test_size_estimate_of_empty_sample_and_folder(spark, tmp_path):
 def test_probe(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/some")
     spark.range(0).write.parquet(f"{tmp_path}/none")
-    paths = {name: f"{tmp_path}/{name}" for name in ("some", "none", "missing")}
-    probe = footers.source_probe(spark, paths)
-    assert rows(probe, "source", "readable", "message") == [
+    spark.range(2).write.parquet(f"{tmp_path}/nested/a b/c")
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "x.parquet").write_bytes(b"no table")
+    names = ("some", "none", "missing", "nested", "broken")
+    probe = footers.source_probe(spark, {name: f"{tmp_path}/{name}" for name in names})
+    found = {r["source"]: r["readable"] for r in probe.collect()}
+    assert found["nested"] is True and found["broken"] is False
+    assert footers.estimate_size(spark, f"{tmp_path}/nested").first()["total_rows"] == 2
+    assert rows(
+        probe.filter("source NOT IN ('nested', 'broken')"), "source", "readable", "message"
+    ) == [
         ("missing", False, "PATH_NOT_FOUND"),
         ("none", False, "no rows"),
         ("some", True, "ok"),
