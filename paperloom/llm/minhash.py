@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.functions.staging import BROADCAST_BYTES, stage
 from paperloom.llm.common import (
     GROUP_BYTES,
     batch_slices,
@@ -265,12 +266,13 @@ def _remaining(live: DataFrame, components: DataFrame, texts: DataFrame, percent
         "mixed-buckets",
     )
     # A large group is compared block by block: a member goes to every pair with its own block.
-    sizes = mixed.groupBy("a").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks")
-    )
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks")
+    large = stage(mixed.groupBy("a").agg(blocks).filter("blocks > 1"), "large-groups")
+    sizes = F.broadcast(large.frame) if large.fits(BROADCAST_BYTES) else large.frame
     own = F.pmod(F.xxhash64("class"), F.col("blocks").cast("long")).cast("int")
     placed = (
-        mixed.join(sizes, "a")
+        mixed.join(sizes, "a", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
