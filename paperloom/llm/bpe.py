@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import ship
+from paperloom.llm.common import give_back, ship
 
 SLICE_ROWS = 500  # rows put together at a time
 BUCKET_BYTES = 8 * 1024 * 1024  # text of the corpus per vocabulary bucket
@@ -107,7 +107,7 @@ def _ask(n_buckets: int):
             for bucket in np.unique(buckets):
                 places = pa.array(order[starts[bucket] : starts[bucket + 1]])
                 yield _message(name, int(bucket), _pack(place=places, word=words.take(places)))
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return run
 
@@ -118,7 +118,7 @@ def _send_positions(batches):
         starts = np.concatenate([[0], ends]).astype(np.int32)
         rows = pa.ListArray.from_arrays(pa.array(starts), positions)
         yield _message(name, -1, _pack(key=keys, positions=rows))
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def _encode_bucket(path: str, pattern: str):
@@ -193,7 +193,7 @@ def _reassemble(path: str, digest: bool):
                 columns["ids"] = _lists(flat, starts)
                 columns["decoded"] = decoded
             tables.append(pa.table(columns))
-        pa.default_memory_pool().release_unused()
+        give_back()
         return pa.concat_tables(tables)
 
     return run

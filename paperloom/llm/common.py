@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -56,6 +58,13 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: an idle Python worker otherwise keeps its peak."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_groups(
     batches: Iterable[pa.RecordBatch], limit: int = GROUP_BYTES
 ) -> Iterator[tuple[list[list], list[bytes]]]:
@@ -80,12 +89,15 @@ def text_groups(
                     kept.extend(new[start : i + 1])
                 texts.extend(t or b"" for t in texts_of_batch[start : i + 1])
                 yield columns, texts
+                give_back()
                 columns, texts, size, start = [[] for _ in values], [], 0, i + 1
         for kept, new in zip(columns, values, strict=True):
             kept.extend(new[start:])
         texts.extend(t or b"" for t in texts_of_batch[start:])
     if texts:
         yield columns, texts
+    del columns, texts
+    give_back()
 
 
 def unused(df: DataFrame, name: str) -> str:
@@ -113,6 +125,7 @@ def batch_slices(
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
+            give_back()
             start = stop
 
 

@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import column, fresh_path, ship, text_groups
+from paperloom.llm.common import column, fresh_path, give_back, ship, text_groups
 from paperloom.llm.words import ASCII_LOWER, mix, texts_to_words
 
 SHARD_BYTES = 12 * 1024 * 1024  # training text per shard of the grid
-GROUP_BYTES = 24 * 1024 * 1024
+GROUP_BYTES = 12 * 1024 * 1024
 
 # Hashes of the text's two ends; words never have them but by a 64-bit coincidence.
 BEGIN, END = np.uint64(0x626567696E), np.uint64(0x656E64)
@@ -176,6 +176,7 @@ def _merge_shard(folder: str, side: int):
     """
 
     def run(group: pa.Table) -> pa.Table:
+        give_back()
         shard = group.column("shard")[0].as_py()
         parts = []
         for payload in group.column("payload").to_pylist():

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import column, ship, text_groups, written
+from paperloom.llm.common import column, give_back, ship, text_groups, written
 from paperloom.llm.words import inside, texts_to_words, windows
 
 WINDOW = 35  # words
@@ -188,6 +188,7 @@ def _extend(window: int, block: int, n_shards: int):
     """All windows around a chunk's anchors, distinct ones once."""
 
     def run(group: pa.Table) -> pa.Table:
+        give_back()
         tables, shards, keys = _known(group)
         name, rows = group.column("chunk")[0].as_py(), []
         for table in tables if len(keys) else []:
@@ -215,6 +216,7 @@ def _remove(window: int, block: int, n_shards: int, digest: bool):
     """Texts without the words that repeated windows cover."""
 
     def run(group: pa.Table) -> pa.Table:
+        give_back()
         anchors = group.filter(pc.equal(group.column("step"), 1))
         repeated = group.filter(pc.equal(group.column("step"), 2))
         texts = group.filter(pc.equal(group.column("step"), 0))

@@ -49,7 +49,7 @@ def edit_budget(term: str) -> int:
 class FuzzyLexicon:
     """Terms within their edit budget of a word."""
 
-    MOST_STATES = 200_000
+    MOST_STATES = 50_000
 
     def __init__(self, terms: dict[str, float], ordinary: frozenset[str] = frozenset()):
         self.stems = {t[:-1]: w for t, w in terms.items() if t.endswith("*")}
@@ -200,7 +200,7 @@ class _Memo(dict):
         return value
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _lexicon(terms: tuple, ordinary: frozenset) -> FuzzyLexicon:
     return FuzzyLexicon(dict(terms), ordinary)
 

@@ -16,7 +16,7 @@ ASCII_LOWER = bytes(range(256)).lower()
 class WordHashes(dict):
     """64-bit hashes of words, kept for as long as they stay a bounded number."""
 
-    MOST = 400_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
