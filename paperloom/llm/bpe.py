@@ -122,13 +122,19 @@ def _send_positions(batches):
 
 
 def _encode_bucket(path: str, pattern: str):
-    """Encode each distinct word of the bucket once; answer every chunk that asked."""
+    """Encode each distinct word of the bucket once; answer every chunk that asked.
+
+    Chunks of equal content share their name and ask for the same: they get one answer.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         encode = _encoder(path, pattern).encode_ordinary
         ids: dict[str, list[int]] = {}
-        answers = []
+        answers, answered = [], set()
         for chunk, bucket, payload in zip(*(c.to_pylist() for c in group.columns), strict=True):
+            if chunk in answered:
+                continue
+            answered.add(chunk)
             asked = _unpack(payload)
             words = asked.column("word").to_pylist()
             for word in words:
@@ -165,10 +171,13 @@ def _reassemble(path: str, digest: bool):
         ):
             (chunks if bucket < 0 else answers).append(_unpack(payload))
         if answers:
-            known = pa.concat_tables(answers).sort_by("place").column("ids").combine_chunks()
+            found = pa.concat_tables(answers).sort_by("place").combine_chunks()
+            if not np.array_equal(found.column("place").to_numpy(), np.arange(len(found))):
+                raise ValueError("a chunk's answers are not one for each of its words")
+            known = found.column("ids").combine_chunks()
         else:
             known = pa.array([], pa.list_(pa.int32()))
-        # Chunks of equal content share their name and their answers.
+        # Each of the chunks of equal content gives its rows.
         slices = (
             chunk.slice(at, SLICE_ROWS)
             for chunk in chunks

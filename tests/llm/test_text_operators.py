@@ -54,6 +54,22 @@ def test_byte_bpe(docs):
     assert bpe.encode_decode(docs.filter("false"), RANKS, public_tokenizers.PATTERN).isEmpty()
 
 
+def test_byte_bpe_of_equal_files(spark, tmp_path, setting):
+    """The same file loaded several times, and repeated rows that are alone in their splits."""
+    setting("spark.sql.files.openCostInBytes", str(2**27))  # each file is a split
+    encoder = tiktoken.Encoding(
+        "t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={}
+    )
+    rows = [(1, "the cat saw the dog"), (2, "a dog, a cat; and words of several buckets"), (None, "x y z"), (3, None)]
+    for n, made in enumerate([rows, rows, rows, rows[:1], rows[:1]]):
+        frame = spark.createDataFrame(made, "doc_id long, text string").coalesce(1)
+        frame.write.mode("append").parquet(str(tmp_path / f"part={n}"))
+    docs = spark.read.parquet(str(tmp_path))
+    found = bpe.encode_decode(docs, RANKS, public_tokenizers.PATTERN).collect()
+    wanted = [(r.doc_id, encoder.encode_ordinary(r.text or ""), (r.text or "").encode()) for r in docs.collect()]
+    assert sorted(((r.doc_id, r.ids, bytes(r.decoded)) for r in found), key=repr) == sorted(wanted, key=repr)
+
+
 # ---- language model ----
 
 
