@@ -30,8 +30,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines shared by many sources; n_chars follows the text. No row goes."""
-    kept = lines.remove_boilerplate(docs)
+    """Texts without lines shared by many sources; n_chars follows the text. No row goes.
+
+    Texts mostly of such lines are left whole only where a near-duplicate stands on another source.
+    """
+    kept = lines.remove_boilerplate(docs, near_percent=NEAR_PERCENT)
     changed = F.col("n_removed") > 0
     if "n_chars" in docs.columns:
         n_chars = F.when(changed, F.length("text")).otherwise(F.col("n_chars"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.staging import BROADCAST_BYTES, stage
 from paperloom.llm.common import column, unused
+from paperloom.llm.minhash import near_duplicates
 
 SALTS = 32
 
@@ -54,11 +55,35 @@ def widespread_lines(lines: DataFrame, min_sites: int, lg_k: int = 12) -> DataFr
     return sure.unionByName(exact)
 
 
+def _copies(candidates: DataFrame, percent: int) -> DataFrame:
+    """Near-duplicate classes of `candidates` (key, site, text), by key.
+
+    Returns key, copied (the class stands on several sites) and one (the one of its sites at
+    which the class counts; the choice differs from class to class).
+    """
+    found = near_duplicates(candidates, percent, "key", "text")
+    classes = found.select(
+        F.col("doc_id").alias("key"), F.coalesce("component_id", "doc_id").alias("copy_class")
+    ).distinct()
+    classed = stage(
+        candidates.select("key", "site").distinct().join(classes, "key"), "line-copies"
+    ).frame
+    site = F.col("site")
+    order = F.when(site.isNotNull(), F.xxhash64("copy_class", site))
+    by_class = classed.groupBy("copy_class").agg(
+        F.coalesce(F.min(site) < F.max(site), F.lit(False)).alias("copied"),
+        F.min_by(site, order).alias("one"),
+    )
+    keys = classed.select("key", "copy_class").distinct()
+    return keys.join(by_class, "copy_class").select("key", "copied", "one")
+
+
 def remove_boilerplate(
     docs: DataFrame,
     min_sites: int = 10,
     max_share: float = 0.5,
     lg_k: int = 12,
+    near_percent: int | None = None,
     text: str = "text",
     site: str = "source",
     doc_id: str = "doc_id",
@@ -68,7 +93,10 @@ def remove_boilerplate(
     Lines are what stands between line feeds, compared without blanks (U+0020) at their ends;
     blank lines are neither counted nor removed. A text with more than `max_share` of its
     characters on shared lines is a copy of a document rather than a page with boilerplate: it
-    is left whole, for document dedup to judge. All columns are kept as they are, but for the
+    is left whole, for document dedup to judge. With `near_percent` the share is no evidence by
+    itself: such a text is left whole only if its class of near-duplicates of that many percent
+    stands on several sites, and each class, copied to however many sites, counts at one of them
+    when the sites of a line are counted. All columns are kept as they are, but for the
     text; two columns are added: n_lines and n_removed (0 and 0 for a null text, which stays
     null). Rows are kept, repeated ones too. An empty table gives an empty one.
     """
@@ -96,7 +124,6 @@ def remove_boilerplate(
         salted = lines.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)))
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))
         hits = salted.join(shared.frame.withColumn("salt", salts), ["line", "salt"])
-    drops = hits.groupBy(F.col("key").alias(key)).agg(F.collect_set("line").alias(drop))
 
     def dropped(line: Column) -> Column:
         return F.array_contains(F.col(drop), _line_hash(line)) & ~_is_blank(line)
@@ -104,10 +131,45 @@ def remove_boilerplate(
     def size(pieces: Column) -> Column:
         return F.aggregate(pieces, F.lit(0).cast("bigint"), lambda n, x: n + F.length(F.trim(x)))
 
+    def with_drops(hits: DataFrame) -> DataFrame:
+        drops = hits.groupBy(F.col("key").alias(key)).agg(F.collect_set("line").alias(drop))
+        return keyed.join(drops, key, "left")
+
     pieces = _pieces(text)
     gone = F.filter(pieces, dropped)
-    whole = F.col(drop).isNull() | (size(gone) > max_share * size(pieces))
-    joined = keyed.join(drops, key, "left").withColumn(drop, F.when(~whole, F.col(drop)))
+    mostly = size(gone) > max_share * size(pieces)
+    if near_percent is None:
+        joined, copied = with_drops(hits), F.lit(True)
+    else:
+        hits = stage(hits.select("key", "site", "line"), "line-hits").frame
+        # Of a text and its near copy one may be just below the share.
+        candidates = (
+            with_drops(hits)
+            .filter(F.col(drop).isNotNull() & (size(gone) > max_share / 2 * size(pieces)))
+            .select(
+                F.col(key).alias("key"),
+                column(site).cast("string").alias("site"),
+                column(text).alias("text"),
+            )
+        )
+        candidates = stage(candidates, "copy-candidates").frame
+        copies = stage(_copies(candidates, near_percent), "copies")
+        known = F.broadcast(copies.frame) if copies.fits(BROADCAST_BYTES) else copies.frame
+        counted_at = F.coalesce("one", F.col("site").cast("string")).alias("site")
+        sites = hits.join(known, "key", "left").select("line", counted_at)
+        shared = stage(
+            widespread_lines(sites.where(F.col("site").isNotNull()), min_sites, lg_k),
+            "shared-lines",
+        )
+        wide = F.broadcast(shared.frame) if shared.fits(BROADCAST_BYTES) else shared.frame
+        mark = unused(docs, "line_copied")
+        marks = known.select(F.col("key").alias(key), F.col("copied").alias(mark))
+        joined = with_drops(hits.join(wide, "line", "left_semi")).join(marks, key, "left")
+        copied = F.coalesce(F.col(mark), F.lit(False))
+    whole = F.col(drop).isNull() | (mostly & copied)
+    joined = joined.withColumn(drop, F.when(~whole, F.col(drop)))
+    if near_percent is not None:
+        joined = joined.drop(mark)
     kept = F.array_join(F.filter(pieces, lambda x: ~dropped(x)), "\n")
     none = F.col(drop).isNull()
     counted = joined.withColumns(

@@ -194,6 +194,31 @@ def test_lines(spark, docs, monkeypatch):
     assert lines.remove_boilerplate(docs.filter("false")).isEmpty()
 
 
+def test_lines_of_texts_that_are_no_copies(spark, monkeypatch):
+    """Mostly boilerplate, but no copy: its lines go. Copies keep theirs, and count once."""
+    menu, legal = "home news sport weather shop " * 3, "all rights reserved by the owner " * 3
+    made = [(i, f"{menu}\npage {i} {' '.join(words(30, i))}\n{legal}", f"s{i}") for i in range(12)]
+    made += [(50, f"{menu}\na short page of its own\n{legal}", "s3"), (51, menu, "s4"), (None, menu + "\nx", None)]
+    story = [" ".join(words(40, f"story {k}")) for k in range(5)]
+    for i in range(12):  # near copies, on as many sites as the boilerplate
+        lines_ = [*story[:4], f"{story[4]} edition {i}"]
+        made.append((100 + i, "\n".join([*lines_, menu]), f"s{i}"))
+    frame = spark.createDataFrame(made, "doc_id long, text string, source string").withColumn("line_copied", F.lit(1))
+    for limit in (10**9, 0):
+        monkeypatch.setattr(lines, "BROADCAST_BYTES", limit)
+        out = lines.remove_boilerplate(frame, near_percent=80)
+        assert out.columns == [*frame.columns, "n_lines", "n_removed"]
+        found = {r.doc_id: r.text for r in out.collect()}
+        assert len(found) == len(made)
+        for i, text, _ in made:
+            assert found[i] == "\n".join(x for x in text.split("\n") if x not in (menu, legal)), i
+    same = [(i, f"{menu}\n{legal}", f"s{i}") for i in range(3)]  # a copy made of shared lines alone
+    frame = spark.createDataFrame(made[:12] + same, "doc_id long, text string, source string")
+    found = lines.remove_boilerplate(frame, near_percent=80).filter("n_lines = 2").collect()
+    assert [r.text for r in found] == [same[0][1]] * 3
+    assert lines.remove_boilerplate(frame.filter("false"), near_percent=80).isEmpty()
+
+
 @pytest.mark.parametrize("sites", [9, 10, 11, 400])
 def test_spread_near_the_threshold_is_exact(spark, sites):
     rows = spark.range(sites).select(F.lit(1).cast("long").alias("line"), F.col("id").cast("string").alias("site"))
