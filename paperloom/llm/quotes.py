@@ -15,6 +15,8 @@ from paperloom.llm.common import column, unused, written
 
 # Marks at the start of a line, each with an optional blank after it.
 _MARKS = r"^(?:[ \t]?>)+"
+_SENTENCE_END = r"[.!?…]+[^\p{L}\p{N}.!?…]*(?:\s|$)|[。！？]+"
+WINDOW = 6  # words of an excerpt that is no sentence
 _ATTRIBUTION = r"(?i)^\s*on\s.*\swrote:\s*$"
 
 
@@ -48,12 +50,22 @@ def parse_quotes(messages: DataFrame, text: str = "text") -> DataFrame:
     return messages.withColumn("lines", F.transform(levels, clean))
 
 
-def passages(parsed: DataFrame) -> DataFrame:
+def _excerpts(text: Column) -> Column:
+    """The sentences of a paragraph and all its runs of WINDOW words, wherever lines break."""
+    sentences = F.transform(F.split(F.regexp_replace(text, r"\s+", " "), _SENTENCE_END), _normal)
+    words = F.split(_normal(text), " ")
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - WINDOW + 1, F.lit(1)))
+    windows = F.transform(starts, lambda i: F.array_join(F.slice(words, i, WINDOW), " "))
+    return F.concat(sentences, windows)
+
+
+def passages(parsed: DataFrame, excerpts: bool = False) -> DataFrame:
     """What each message says or quotes, as hashes: conv, turn, level, unit, weight.
 
     Units are lines, and paragraphs (runs of lines of one level between blank lines), which
     match also where a reader's program has broken lines anew. A unit without letters or
-    digits is left out. weight is its length.
+    digits is left out. weight is its length. With `excerpts` units are parts of paragraphs
+    instead: sentences and runs of words.
     """
     start = F.struct(F.lit(-2).alias("level"), F.lit("").alias("text"))
     empty = F.array(start)
@@ -78,12 +90,23 @@ def passages(parsed: DataFrame) -> DataFrame:
     single = F.transform(
         "lines", lambda x: F.struct(x["level"].alias("level"), x["line"].alias("text"))
     )
-    units = F.array_distinct(
-        F.transform(
+    if excerpts:
+        runs = F.filter(paragraphs, lambda x: x["level"] >= 0)
+        found = F.flatten(
+            F.transform(
+                runs,
+                lambda x: F.transform(
+                    _excerpts(x["text"]),
+                    lambda t: F.struct(x["level"].alias("level"), t.alias("text")),
+                ),
+            )
+        )
+    else:
+        found = F.transform(
             F.concat(single, paragraphs),
             lambda x: F.struct(x["level"].alias("level"), _normal(x["text"]).alias("text")),
         )
-    )
+    units = F.array_distinct(found)
     return (
         parsed.select("conv", "turn", has_quotes.alias("has_quotes"), F.inline(units))
         .filter((F.col("level") >= 0) & (F.col("text") != ""))
@@ -127,6 +150,21 @@ def link_quotes(units: DataFrame) -> DataFrame:
     )
 
 
+def _with_excerpts(parsed: DataFrame, units: DataFrame, links: DataFrame) -> DataFrame:
+    """`links`, and those of quotations without one that are excerpts of an earlier message."""
+    at = ["conv", "turn", "level"]
+    quoted = units.filter(F.col("level") > 0).select(*at).distinct()
+    unlinked = written(quoted.join(links, at, "left_anti"), "quotes-unlinked")
+    if unlinked.isEmpty():
+        return links
+    talks = parsed.join(unlinked.select("conv").distinct(), "conv", "left_semi")
+    parts = passages(talks, excerpts=True)
+    asked = parts.filter(F.col("level") > 0).join(unlinked, at, "left_semi")
+    own = parts.filter(F.col("level") == 0)
+    found = link_quotes(own.unionByName(asked.select(*own.columns)))
+    return written(links.unionByName(found), "quote-links")
+
+
 def thread_roots(parents: DataFrame) -> DataFrame:
     """conv, turn, parent -> conv, turn, root, depth, by pointer doubling.
 
@@ -176,7 +214,8 @@ def reply_ordered(
       reply_depth: replies between that one and this.
 
     Sorted by conversation, thread_turn and turn, every message stands behind the one it
-    answers. A message without conversation or turn is not linked; its thread_turn is its turn.
+    answers. A quotation is looked for as whole lines and paragraphs; if none is found, as
+    sentences and runs of WINDOW words. A message without conversation or turn is not linked; its thread_turn is its turn.
     A null text stays null. Rows that share conversation and turn count as one message for
     links; all of them are kept. An empty table gives an empty one.
     """
@@ -186,8 +225,9 @@ def reply_ordered(
     narrow = messages.select(
         column(conv).alias("conv"), column(turn).alias("turn"), column(text).alias("text")
     )
-    units = passages(parse_quotes(narrow).filter("conv IS NOT NULL AND turn IS NOT NULL"))
-    links = written(link_quotes(units), "quote-links")
+    known_rows = parse_quotes(narrow).filter("conv IS NOT NULL AND turn IS NOT NULL")
+    units = passages(known_rows)
+    links = _with_excerpts(known_rows, units, written(link_quotes(units), "quote-links"))
     roots = thread_roots(links.filter("level = 1").withColumnRenamed("source_turn", "parent"))
     by_message = links.groupBy("conv", "turn").agg(
         F.max(F.when(F.col("level") == 1, F.col("source_turn"))).alias("reply_turn"),

@@ -219,6 +219,23 @@ def test_quotations(spark):
     assert quotes.reply_ordered(frame.filter("false")).isEmpty()
 
 
+def test_excerpts_are_linked(spark):
+    """One sentence of a long line, and part of a paragraph broken at another width."""
+    rows = [
+        (1, 0, "Hello to all. The meeting is on Monday. Bring tea!"),
+        (1, 1, "We could walk along the river\nand have lunch by the old mill, if it\nstays dry until noon."),
+        (1, 2, "> The meeting is on Monday.\nNoted."),
+        (1, 3, "> river and have lunch by\n> the old mill, if\nGood plan"),
+        (1, 4, "> > Bring tea!\n> Noted.\n\nYes"), (1, 5, "> never said by anybody in this whole place\nNo"),
+        (2, 0, "> Bring tea!\nelsewhere"),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    got = {(r.conv_id, r.turn): r for r in quotes.reply_ordered(frame).collect()}
+    assert [got[1, i].reply_turn for i in range(6)] == [None, None, 0, 1, 2, None]
+    assert [got[1, i].n_linked for i in range(6)] == [0, 0, 1, 1, 2, 0]
+    assert (got[1, 4].thread_turn, got[1, 4].reply_depth) == (0, 2) and got[2, 0].n_linked == 0
+
+
 # ---- archives ----
 
 
