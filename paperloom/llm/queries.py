@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontamination, lines, minhash, neighbours, ngrams, quotes, repeats, toxicity, warc
+from paperloom.llm import (
+    decontamination,
+    lines,
+    minhash,
+    neighbours,
+    ngrams,
+    quotes,
+    repeats,
+    simhash,
+    toxicity,
+    warc,
+)
 from paperloom.llm.bpe import encode_decode
 from paperloom.llm.common import fresh_path, table, written
 
@@ -119,3 +130,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_fixed_block_anchors")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), window=35, digest=True)
+
+
+@register("op13_simhash")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
