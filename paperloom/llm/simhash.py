@@ -34,6 +34,7 @@ from paperloom.llm.words import ASCII_LOWER
 RADIUS = 3  # what the parity argument above is made for
 SHINGLE = 3  # words
 BITS = 64
+FIRST_BITS = 10  # of prefixes at least, so that small tables too are dealt over many groups
 GROUP_ENTRIES = 16_384  # wanted for each prefix
 MOST_ENTRIES = 65_536  # beyond which a prefix is made longer
 LONGER, LONGEST = 6, 60  # bits
@@ -175,8 +176,12 @@ def _meet(group: pa.Table) -> pa.Table:
 
 
 def first_bits(n: int) -> int:
-    """Length of prefixes at which n evenly spread fingerprints make groups of the wanted size."""
-    for bits in range(1, LONGEST):
+    """Length of prefixes at which n evenly spread fingerprints make groups of the wanted size.
+
+    A fingerprint has about bits * bits / 4 prefixes: that number grows with the square of the
+    logarithm of n, whatever groups of near copies there are.
+    """
+    for bits in range(FIRST_BITS, LONGEST):
         each = 1 + bits + bits * (bits - 1) / 4  # half of them are odd
         if n * each / 2**bits <= GROUP_ENTRIES:
             return bits

@@ -93,6 +93,7 @@ def dense(n, seed):
 
 @pytest.mark.parametrize("wanted, most", [(16_384, 65_536), (500, 200), (50, 40)])
 def test_prefixes_of_any_length(spark, monkeypatch, wanted, most):
+    monkeypatch.setattr(simhash, "FIRST_BITS", 1 if wanted < 16_384 else 10)
     monkeypatch.setattr(simhash, "GROUP_ENTRIES", wanted)
     monkeypatch.setattr(simhash, "MOST_ENTRIES", most)
     values = dense(1500, wanted)
