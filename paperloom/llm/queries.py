@@ -16,6 +16,7 @@ from paperloom.llm import (
     quotes,
     repeats,
     simhash,
+    spelling,
     toxicity,
     warc,
 )
@@ -135,3 +136,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_simhash")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op11_spelling_variants")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
