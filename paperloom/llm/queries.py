@@ -11,6 +11,7 @@ from paperloom.llm import (
     decontamination,
     lines,
     minhash,
+    negatives,
     neighbours,
     ngrams,
     quotes,
@@ -141,3 +142,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_spelling_variants")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@register("op12_hard_negatives", sql=negatives.SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_anchor = F.pmod(F.col("vec_id"), F.lit(100)) == 0
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), is_anchor)
