@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import column, give_back, ship, text_groups, written
-from paperloom.llm.words import inside, texts_to_words, windows
+from paperloom.llm.words import BASES, inside, run_hashes, word_arrays
 
 WINDOW = 35  # words
 CHUNK_BYTES = 24 * 1024 * 1024
@@ -36,7 +36,6 @@ SHARD_BYTES = 16 * 1024 * 1024
 
 _MESSAGE = "chunk binary, shard int, payload binary"
 _SCHEMA = pa.schema([("chunk", pa.binary()), ("shard", pa.int32()), ("payload", pa.binary())])
-_OTHER_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _message(rows: list[tuple]) -> pa.RecordBatch:
@@ -94,7 +93,7 @@ def _send_hashes(name: bytes, shards: np.ndarray, keys: np.ndarray, many, block,
 
 def _runs(words: np.ndarray, ends: np.ndarray, size: int):
     """Hashes of all runs of `size` words, and which of the places have one."""
-    hashed = windows(words, size)
+    hashed = run_hashes(words, size)
     return hashed, inside(ends, size, len(hashed))
 
 
@@ -109,7 +108,7 @@ def _probe(block: int, n_shards: int):
 
     def run(batches):
         for name, _, texts in _chunks(batches):
-            words, ends = texts_to_words(texts)
+            words, ends = word_arrays(texts)
             hashed, real = _runs(words, ends, block)
             begins = np.repeat(ends[:-1], np.diff(ends))[: len(hashed)]
             aligned = (np.arange(len(hashed)) - begins) % block == 0
@@ -179,8 +178,8 @@ def _candidates(words, ends, window: int, block: int, n_shards: int, shards, key
     holds = before[np.arange(n) + around] > before[np.arange(n)]
     places = np.flatnonzero(inside(ends, window, n) & holds)
     del hashed, own, hit, before
-    found = windows(words, window)[places]
-    second = windows(words, window, _OTHER_STEP)[places]
+    found = run_hashes(words, window)[places]
+    second = run_hashes(words, window, BASES[1])[places]
     return places, found, (second % np.uint64(n_shards)).astype(np.int32)
 
 
@@ -192,7 +191,7 @@ def _extend(window: int, block: int, n_shards: int):
         tables, shards, keys = _known(group)
         name, rows = group.column("chunk")[0].as_py(), []
         for table in tables if len(keys) else []:
-            words, ends = texts_to_words(table.column("text").to_pylist())
+            words, ends = word_arrays(table.column("text").to_pylist())
             _, found, at = _candidates(words, ends, window, block, n_shards, shards, keys)
             if not len(found):
                 continue
@@ -228,7 +227,7 @@ def _remove(window: int, block: int, n_shards: int, digest: bool):
         for table in _known(texts)[0]:
             values = table.column("text").to_pylist()
             ids.extend(table.column("key").to_pylist())
-            words, ends = texts_to_words(values)
+            words, ends = word_arrays(values)
             covered = np.zeros(len(words) + 1, np.int32)
             if len(twice):
                 places, found, at = _candidates(

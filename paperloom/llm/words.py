@@ -45,6 +45,65 @@ def texts_to_words(texts: list[bytes], translation: bytes | None = None) -> tupl
     return (np.concatenate(arrays) if arrays else np.zeros(0, np.uint64)), ends
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PIECE = 1 << 20  # bytes hashed at a time
+BASES = (0xA24BAED4963EE407, 0x9FB21C651E98DF25)  # odd, so that they have inverses
+_powers: dict[int, list[np.ndarray]] = {}
+
+
+def _power_tables(n: int, base: int) -> list[np.ndarray]:
+    """Powers of the base modulo 2^64, and those of its inverse."""
+    if base not in _powers or len(_powers[base][0]) < n:
+        tables = [np.full(n, b, np.uint64) for b in (base, pow(base, -1, 1 << 64))]
+        for table in tables:
+            table[0] = 1
+            np.multiply.accumulate(table, out=table)
+        _powers[base] = tables
+    return _powers[base]
+
+
+def run_hashes(hashes: np.ndarray, size: int, base: int = BASES[0]) -> np.ndarray:
+    """Like `windows`, for the cost of one pass: differences of running sums."""
+    n = max(0, len(hashes) - size + 1)
+    out = np.empty(n, np.uint64)
+    for start in range(0, n, 1 << 16):
+        part = hashes[start : min(n, start + (1 << 16)) + size - 1]
+        powers, inverse = _power_tables((1 << 16) + size, base)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * powers[: len(part)], out=sums[1:])
+        count = len(part) - size + 1
+        out[start : start + count] = (sums[size:] - sums[:count]) * inverse[:count]
+    return mix(out)
+
+
+def word_arrays(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Like `texts_to_words` without translation, but no word becomes an object.
+
+    Words are found as edges between white space and other bytes; a word's hash is the
+    polynomial of its bytes, as a difference of running sums, mixed.
+    """
+    joined = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+    space = _SPACE[joined]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, stops = edges[0::2], edges[1::2]
+    del space, edges
+    hashes = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        low = starts[first]
+        last = max(first + 1, int(np.searchsorted(stops, low + _PIECE, "right")))
+        size = int(stops[last - 1] - low)
+        powers, inverse = _power_tables(max(size, _PIECE), BASES[0])
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(joined[low : low + size] * powers[:size], out=sums[1:])
+        begin = starts[first:last] - low
+        hashes[first:last] = (sums[stops[first:last] - low] - sums[begin]) * inverse[begin]
+        first = last
+    offsets = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    return mix(hashes), np.searchsorted(starts, offsets)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit over all others (the finalizer of SplitMix64)."""
     x = (x ^ (x >> np.uint64(30))) * _MIX_1
