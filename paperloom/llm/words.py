@@ -96,7 +96,9 @@ def word_arrays(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         size = int(stops[last - 1] - low)
         powers, inverse = _power_tables(max(size, _PIECE), BASES[0])
         sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(joined[low : low + size] * powers[:size], out=sums[1:])
+        letters = joined[low : low + size].astype(np.uint64)
+        letters += np.uint64(1)  # so that a zero byte counts
+        np.cumsum(letters * powers[:size], out=sums[1:])
         begin = starts[first:last] - low
         hashes[first:last] = (sums[stops[first:last] - low] - sums[begin]) * inverse[begin]
         first = last
