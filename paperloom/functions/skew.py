@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.staging import BROADCAST_BYTES, stage
 
 ROWS_PER_TASK = 200_000
+SKETCH_KEYS, SKETCH_ITEMS = 10_000, 100_000  # of the sketch of frequent keys
 SALT = "_salt"
 _HASH = "_key_hash"
 _SALTS = "_salts"
@@ -41,6 +42,33 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
     return F.broadcast(staged.frame) if staged.fits(BROADCAST_BYTES) else staged.frame
 
 
+def staged_with_hot_keys(
+    df: DataFrame, key: str, label: str, rows_per_task: int = ROWS_PER_TASK
+) -> tuple[DataFrame, DataFrame | None]:
+    """A narrow frame, written, and `hot_keys` of it, sketched during the write.
+
+    The frame is evaluated once. The sketch of frequent items is merged from those of the tasks;
+    it holds every key above the limit as long as the limit is a small multiple of rows /
+    SKETCH_ITEMS, and its counts, which decide the number of salts only, may be somewhat high or
+    low. Beyond that keys are counted exactly on the written frame.
+    """
+    sketch = F.expr(f"approx_top_k(xxhash64(`{key}`), {SKETCH_KEYS}, {SKETCH_ITEMS})")
+    staged = stage(df, label, top=sketch)
+    if not staged.rows:
+        return staged.frame, None
+    if staged.rows > SKETCH_KEYS * rows_per_task or staged.rows * 4 > SKETCH_ITEMS * rows_per_task:
+        return staged.frame, hot_keys(staged.frame, key, rows_per_task)
+    hot = [
+        (top["item"], -(-top["count"] // rows_per_task))
+        for top in staged.seen["top"]
+        if top["count"] > rows_per_task
+    ]
+    if not hot:
+        return staged.frame, None
+    listed = df.sparkSession.createDataFrame(hot, f"{_HASH} long, {_SALTS} int")
+    return staged.frame, F.broadcast(listed)  # at most SKETCH_KEYS rows
+
+
 def _with_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     hashed = df.withColumn(_HASH, F.xxhash64(key))
     return hashed.join(hot, _HASH, "left").withColumn(

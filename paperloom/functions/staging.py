@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ class Staged:
     frame: DataFrame
     rows: int
     bytes: int
+    seen: dict = field(default_factory=dict)
 
     def fits(self, limit: int) -> bool:
         return self.bytes <= limit
@@ -39,10 +40,10 @@ def _row_bytes(schema: T.StructType) -> Column:
     return total
 
 
-def stage(df: DataFrame, label: str) -> Staged:
+def stage(df: DataFrame, label: str, **measures: Column) -> Staged:
     """Write a frame of scalar columns to the shared folder and read it back.
 
-    Row count and byte size ride along with the write. Later stages depend on the files
+    Row count, byte size and any further `measures` (aggregates) ride along with the write. Later stages depend on the files
     only, so a lost executor costs no recomputation of what led here.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
@@ -52,11 +53,12 @@ def stage(df: DataFrame, label: str) -> Staged:
             seen,
             F.count(F.lit(1)).alias("rows"),
             F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).cast("bigint").alias("bytes"),
+            *[measure.alias(name) for name, measure in measures.items()],
         )
         .write.parquet(path)
     )
     frame = df.sparkSession.read.schema(df.schema).parquet(path)
-    return Staged(frame, seen.get["rows"], seen.get["bytes"])
+    return Staged(frame, seen.get["rows"], seen.get["bytes"], {m: seen.get[m] for m in measures})
 
 
 def has_repeated(df: DataFrame, column: str) -> bool:

@@ -8,15 +8,15 @@ Pass `papers` with the key and derived columns only to keep the wide columns out
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from paperloom.functions.bitmaps import with_membership
 from paperloom.functions.columns import percent
 from paperloom.functions.nested import add_typed_column, column_by_name
 from paperloom.functions.skew import ROWS_PER_TASK, SALT, hot_keys, replicate, spread
-from paperloom.functions.staging import BROADCAST_BYTES, has_repeated, stage
+from paperloom.functions.staging import BROADCAST_BYTES, Staged, stage
 from paperloom.schemas import CONCEPTS, TOPIC, TOPICS, type_of
 
 FLAG_MODES = ("incremental", "force", "recompute")
@@ -39,30 +39,16 @@ def _flag_state(
 ) -> DataFrame:
     """Papers with their old flags and, per flag, whether the key exists in its table.
 
-    The keys of all tables are merged into one small row per key before they meet the papers,
-    so any number of flags costs one join. The merged keys are staged and measured: broadcast
-    if small, which leaves the papers in place; otherwise a shuffled join of two plain
-    exchanges, the shape in which adaptive execution splits a skewed partition.
+    The keys of all tables are merged into bitmaps, so any number of flags costs one join, which
+    leaves the papers in place up to very many keys (`with_membership`).
     """
-    tagged = [
-        other.select(key, *[F.lit(flag == name).alias(_HIT + name) for name in others])
-        for flag, other in others.items()
-    ]
-    present = (
-        reduce(DataFrame.unionAll, tagged)
-        .filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(*[F.bool_or(_HIT + name).alias(_HIT + name) for name in others])
-    )
     for flag in others:
         papers = add_typed_column(papers, flag, "boolean")
-    staged = stage(present, "keys-present")
-    side = F.broadcast(staged.frame) if staged.fits(broadcast_bytes) else staged.frame
-    return papers.join(side, key, "left")
+    return with_membership(papers, others, key, _HIT, broadcast_bytes)
 
 
 def _hit(flag: str) -> Column:
-    return F.coalesce(F.col(_HIT + flag), F.lit(False))
+    return F.col(_HIT + flag)
 
 
 def _flag_updated(flag: str, mode: str) -> Column:
@@ -83,15 +69,25 @@ def flag_all(
     key: str = "corpusid",
     mode: str = "incremental",
     broadcast_bytes: int = BROADCAST_BYTES,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Set each boolean flag in `others` by whether `key` occurs in its table.
 
     incremental: only NULL flags are decided, TRUE and FALSE stay.
     force: a hit sets TRUE; without a hit TRUE and FALSE stay and NULL becomes FALSE.
     recompute: the flag is the hit, which also clears stale TRUE flags.
+
+    `seen` gets the numbers of `flag_report` while the result is written: `total`, and for each
+    flag `<flag>_updated` and `<flag>_covered`.
     """
     _require(mode, FLAG_MODES)
     state = _flag_state(papers, others, key, broadcast_bytes)
+    if seen is not None:
+        counts = [F.count(F.lit(1)).alias("total")]
+        for flag in others:
+            counts.append(F.count_if(_flag_updated(flag, mode)).alias(f"{flag}_updated"))
+            counts.append(F.count_if(_flag_after(flag, mode)).alias(f"{flag}_covered"))
+        state = state.observe(seen, *counts)
     after = {flag: _flag_after(flag, mode) for flag in others}
     return state.withColumns(after).drop(*[_HIT + flag for flag in others])
 
@@ -132,6 +128,21 @@ def flag_report(
 # ---- topics --------------------------------------------------------------------------------
 
 
+def _winning_works(pairs: DataFrame, works: DataFrame) -> Staged:
+    """(corpusid, oa_id, one): the smallest work that exists of those each paper is linked to.
+
+    Ids alone are joined and aggregated. `one` says that a single row of the works was found for
+    the paper, so that there is nothing to choose among when topics are fetched.
+    """
+    ids = works.filter(F.col("id").isNotNull()).select(F.col("id").alias("oa_id"))
+    found = (
+        pairs.join(ids, "oa_id")
+        .groupBy("corpusid")
+        .agg(F.min("oa_id").alias("oa_id"), (F.count(F.lit(1)) == 1).alias("one"))
+    )
+    return stage(found, "topic-winners", several=F.count_if(~F.col("one")))
+
+
 def _assigned_topics(
     pairs: DataFrame,
     works: DataFrame,
@@ -142,47 +153,43 @@ def _assigned_topics(
     """(corpusid, topics, concepts) of the work each paper is linked to.
 
     A paper linked to several works takes the one with the smallest id, and among copies of
-    that work one that has topics. The aggregate for that carries topics through a sort, so
-    it is planned only if some paper has several links or ids may repeat.
+    that work one that has topics. The work is chosen on narrow rows first, then its topics are
+    fetched once: works in place if the winners are few, else both by a shuffle. Only rows of
+    papers for which several rows were found, copies perhaps, pass an aggregate with their topics.
     """
     payload = works.filter(F.col("id").isNotNull()).select(
         F.col("id").alias("oa_id"),
         column_by_name(works, "topics", type_of(TOPICS)).alias("topics"),
         column_by_name(works, "concepts", type_of(CONCEPTS)).alias("concepts"),
     )
-    content = F.struct(F.col("topics").isNull().alias("without"), "topics", "concepts")
+    staged = _winning_works(pairs, works)
 
-    staged = stage(pairs, "topic-pairs")
-    several = has_repeated(staged.frame, "corpusid")
-    if staged.fits(broadcast_bytes):
-        # Few papers to fill: the works are scanned in place, not shuffled.
-        matched = payload.select("oa_id", content.alias("content")).join(
-            F.broadcast(staged.frame), "oa_id"
-        )
-        several = several or not unique_ids
-    else:
-        links, keys = staged.frame, [_ID_HASH, "oa_id"]
-        hot = hot_keys(links, "oa_id", rows_per_task)
+    def fetched(winners: DataFrame, contents: DataFrame) -> DataFrame:
+        if staged.fits(broadcast_bytes):
+            return contents.join(F.broadcast(winners), "oa_id")
+        keys = [_ID_HASH, "oa_id"]
         if hot is not None:
-            links = spread(links, "oa_id", F.col("corpusid"), hot)
-            payload = replicate(payload, "oa_id", hot)
+            winners = spread(winners, "oa_id", F.col("corpusid"), hot)
+            contents = replicate(contents, "oa_id", hot)
             keys.append(SALT)
         # Sorted by hash first: ids all start alike and compare slowly.
-        id_hash = F.xxhash64("oa_id").alias(_ID_HASH)
-        contents = payload.select(id_hash, *keys[1:], content.alias("content"))
-        if not unique_ids:
-            # Same keys as the join, which then needs no further shuffle.
-            contents = contents.groupBy(*keys).agg(F.min("content").alias("content"))
-        links = links.withColumn(_ID_HASH, F.xxhash64("oa_id"))
-        matched = contents.join(links.hint("shuffle_hash"), keys)
-    if several:
-        chosen = F.min(F.struct("oa_id", "content"))
-        matched = (
-            matched.groupBy("corpusid")
-            .agg(chosen.alias("chosen"))
-            .select("corpusid", "chosen.content")
-        )
-    return matched.select("corpusid", "content.topics", "content.concepts")
+        winners, contents = (f.withColumn(_ID_HASH, F.xxhash64("oa_id")) for f in (winners, contents))
+        return contents.join(winners.hint("shuffle_hash"), keys)
+
+    few = staged.fits(broadcast_bytes)
+    hot = None if few else hot_keys(staged.frame, "oa_id", rows_per_task)
+    result = ["corpusid", "topics", "concepts"]
+    if unique_ids or not staged.seen["several"]:
+        return fetched(staged.frame.drop("one"), payload).select(*result)
+    single = fetched(staged.frame.filter("one").drop("one"), payload).select(*result)
+    content = F.struct(F.col("topics").isNull().alias("without"), "topics", "concepts")
+    copies = (
+        fetched(staged.frame.filter("NOT one").drop("one"), payload)
+        .groupBy("corpusid")
+        .agg(F.min(content).alias("content"))
+        .select("corpusid", "content.topics", "content.concepts")
+    )
+    return single.unionAll(copies)
 
 
 def _topic_state(
@@ -217,6 +224,12 @@ def _topics_updated(mode: str) -> Column:
     return matched & F.col("oa_topics").isNull() if mode == "incremental" else matched
 
 
+def _topics_covered(mode: str) -> Column:
+    return F.when(_topics_updated(mode), F.col(f"{_NEW}.topics").isNotNull()).otherwise(
+        F.col("oa_topics").isNotNull()
+    )
+
+
 def enrich_topics(
     papers: DataFrame,
     lookup: DataFrame,
@@ -225,19 +238,28 @@ def enrich_topics(
     unique_ids: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Fill `oa_topics`, `oa_concepts` and `oa_primary_topic` through the lookup.
 
     incremental: only papers whose `oa_topics` is NULL take new values.
     force: every linked paper takes the values of its work, also NULL.
     Papers without a linked work never change. `unique_ids=True` promises that ids of
-    `works` do not repeat and saves one aggregate.
+    `works` do not repeat and saves one aggregate. `seen` gets the numbers of `topic_report`
+    while the result is written: `total`, `updated` and `covered`.
     """
     _require(mode, TOPIC_MODES)
     state = _topic_state(
         papers, lookup, works, mode, unique_ids, broadcast_bytes, rows_per_task
     )
     take = _topics_updated(mode)
+    if seen is not None:
+        state = state.observe(
+            seen,
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(take).alias("updated"),
+            F.count_if(_topics_covered(mode)).alias("covered"),
+        )
     topics = F.col(f"{_NEW}.topics")
     after = {
         "oa_topics": topics,
@@ -263,14 +285,10 @@ def topic_report(
     state = _topic_state(
         papers, lookup, works, mode, unique_ids, broadcast_bytes, rows_per_task
     )
-    take = _topics_updated(mode)
-    has_after = F.when(take, F.col(f"{_NEW}.topics").isNotNull()).otherwise(
-        F.col("oa_topics").isNotNull()
-    )
     return state.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(take).alias("rows_updated"),
-        F.count_if(has_after).alias("covered"),
+        F.count_if(_topics_updated(mode)).alias("rows_updated"),
+        F.count_if(_topics_covered(mode)).alias("covered"),
     ).withColumn("pct", percent(F.col("covered"), F.col("total"), 1))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import doi_key
-from paperloom.functions.skew import ROWS_PER_TASK, salted_join
+from paperloom.functions.skew import ROWS_PER_TASK, SALT, replicate, spread, staged_with_hot_keys
 
 
 def papers_lookup(
@@ -21,7 +21,8 @@ def papers_lookup(
 
     `works` holds one record per DOI (`dedup_works`, or `best_records` with the year).
     The match is case-sensitive unless `normalize='lower'`, which `match_method` records.
-    Several papers may share a DOI; DOIs with very many papers are salted.
+    Several papers may share a DOI; DOIs with very many papers are salted. Papers are scanned
+    once: ids and DOIs are staged, and a sketch of frequent DOIs rides along.
     """
     if normalize not in (None, "lower"):
         raise ValueError(f"unknown normalize: {normalize!r}")
@@ -37,7 +38,14 @@ def papers_lookup(
     s2 = papers.filter(F.col("externalids.DOI").isNotNull()).select(
         "corpusid", fold(F.col("externalids.DOI")).alias("doi_key")
     )
-    pairs = salted_join(s2, oa, "doi_key", F.col("corpusid"), "inner", rows_per_task)
+    keys = ["doi_key"]
+    # The number of a row within the written frame spreads those without a corpusid as well.
+    s2 = s2.withColumn("_row", F.monotonically_increasing_id())
+    s2, hot = staged_with_hot_keys(s2, "doi_key", "paper-dois", rows_per_task)
+    if hot is not None:
+        s2, oa = spread(s2, "doi_key", F.col("_row"), hot), replicate(oa, "doi_key", hot)
+        keys.append(SALT)
+    pairs = s2.join(oa, keys)
     return pairs.select(
         F.col("corpusid").cast("int"),
         "oa_id",

@@ -10,10 +10,10 @@ each in a session of its own.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions.staging import has_repeated
@@ -74,15 +74,36 @@ class Database:
         df: DataFrame,
         partition_by: str | None = None,
         year_column: str | None = None,
+        seen: Observation | None = None,
+        reports: Mapping[str, str] | None = None,
         **facts,
     ) -> DataFrame:
-        """Write a new version of table `job`, make it current and log it."""
+        """Write a new version of table `job`, make it current and log it.
+
+        Rows are counted while they are written, nothing is read again unless years are wanted.
+        `seen`, which `df` observes, has the number of rows as `total`; `reports` names the jobs
+        to be logged with what else it has, each with the prefix of its numbers.
+        """
         started = time.monotonic()
+        if seen is None and year_column is None:
+            seen = Observation()
+            df = df.observe(seen, F.count(F.lit(1)).alias("total"))
         table, path = tables.rebuild_table(df, f"{self.root.rstrip('/')}/{job}", job, partition_by)
-        stats = tables.load_stats(table, year_column)
+        if year_column is None:
+            stats = {"total_rows": seen.get["total"]}
+        else:
+            stats = tables.load_stats(table, year_column).first().asDict()
         elapsed = round(time.monotonic() - started, 1)
-        audit.append_run(self.log, stats, job, path=path, elapsed_seconds=elapsed, **facts)
-        self.jobs.append(job)
+        runs = [{"job": job, "path": path, "elapsed_seconds": elapsed, **stats, **facts}]
+        for name, prefix in (reports or {}).items():
+            numbers = {
+                "total_rows": seen.get["total"],
+                "rows_updated": seen.get[f"{prefix}updated"],
+                "rows_covered": seen.get[f"{prefix}covered"],
+            }
+            runs.append({"job": name, **numbers, **facts})
+        audit.append_runs(self.spark, self.log, runs)
+        self.jobs.extend(run["job"] for run in runs)
         return table
 
     def previous(self, job: str) -> DataFrame | None:
@@ -113,12 +134,6 @@ class Database:
             return keys
         return keys.join(before.select("corpusid", *columns), "corpusid", "left")
 
-    def _report(self, job: str, report: DataFrame, mode: str) -> None:
-        """Log how many rows a step has updated, and how many have a value now."""
-        names = {"total": "total_rows", "covered": "rows_covered"}
-        audit.append_run(self.log, report.withColumnsRenamed(names), job, mode=mode)
-        self.jobs.append(job)
-
     # ---- steps ----
 
     def load(self, inputs: Inputs, test_year: int | None = None) -> None:
@@ -133,11 +148,12 @@ class Database:
             self.publish(job, kept, year, year, mode=mode, source=path)
         merged = scan.scan_union_by_name(self.spark, inputs.sources, inputs.drop_from_sources)
         self.publish("oa_sources", merged, mode="all", source=",".join(inputs.sources))
-        self.unique_ids = None
+        self.unique_ids, views = None, []
         for job, path in (("s2_abstracts", inputs.abstracts), ("s2orc_v2", inputs.fulltext)):
             scan.view_parquet(self.spark, job, path)
-            audit.append_run(self.log, self.spark.range(1), job, mode="view", source=path, path=path)
+            views.append({"job": job, "mode": "view", "source": path, "path": path})
             self.jobs.append(job)
+        audit.append_runs(self.spark, self.log, views)
 
     def link(self) -> None:
         works, papers = self.table("oa_works"), self.table("s2_papers")
@@ -160,18 +176,17 @@ class Database:
         for flag in flags:
             if flag not in state.columns:
                 state = state.withColumn(flag, F.lit(None).cast("boolean"))
-        self.publish("paper_flags", enrich.flag_all(state, others, mode=mode), mode=mode)
-        for flag, other in others.items():
-            self._report(flag, enrich.flag_report(state, other, "corpusid", flag, mode), mode)
+        seen = Observation()
+        flagged = enrich.flag_all(state, others, mode=mode, seen=seen)
+        reports = {flag: f"{flag}_" for flag in flags}
+        self.publish("paper_flags", flagged, seen=seen, reports=reports, mode=mode)
 
     def enrich(self, mode: str = "incremental") -> None:
         state = self._state("paper_topics", ["oa_topics", "oa_concepts", "oa_primary_topic"])
         sides = self.table("papers_lookup"), self.table("oa_works")
-        unique = bool(self.unique_ids)
-        filled = enrich.enrich_topics(state, *sides, mode, unique_ids=unique)
-        self.publish("paper_topics", filled, mode=mode)
-        report = enrich.topic_report(state, *sides, mode, unique_ids=unique)
-        self._report("oa_topics", report, mode)
+        seen = Observation()
+        filled = enrich.enrich_topics(state, *sides, mode, unique_ids=bool(self.unique_ids), seen=seen)
+        self.publish("paper_topics", filled, seen=seen, reports={"oa_topics": ""}, mode=mode)
 
     def _with(self, *sides: str) -> DataFrame:
         """Loaded papers with the columns of the given side tables.

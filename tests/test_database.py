@@ -5,7 +5,7 @@ from frames import rows
 from oracle import connect
 from pyspark.sql import functions as F
 
-from paperloom.operators import audit
+from paperloom.operators import audit, enrich
 from paperloom.plans.scholarly import Database, Inputs
 from paperloom.registry.fixtures import Tables, with_tables
 
@@ -119,6 +119,23 @@ def test_steps_run_in_a_session_of_their_own(spark, built):
     assert all(abs(r["s"] - 1) < 1e-9 for r in shares.collect())
 
 
+def test_update_counts_cost_no_second_join(spark, built):
+    """The numbers come with the write: they equal the report, and few Spark jobs are needed."""
+    started = lambda: spark.sparkContext._jsc.sc().statusStore().jobsList(None).size()
+    later = Database(spark, built.root)
+    state = later._state("paper_flags", ["has_abstract", "has_fulltext"])
+    report = enrich.flag_report(state, later.table("s2_abstracts"), "corpusid", "has_abstract", "force").first()
+    before = started()
+    later.flag("force")
+    assert started() - before <= 18  # 33 with a report for each flag and a count of the result
+    last = audit.run_log(spark, built.log).filter("job = 'has_abstract'").orderBy(F.desc("run_id")).first()
+    assert (last.total_rows, last.rows_updated, last.rows_covered) == tuple(report)[:3]
+    files = lambda: spark.read.parquet(built.log).inputFiles()
+    n = len(files())
+    later.enrich()
+    assert len(files()) == n + 1  # one file for all records of a step
+
+
 def test_repeated_and_missing_ids_keep_their_rows(spark, inputs, tmp_path):
     papers = spark.read.parquet(inputs.papers)
     repeated = papers.filter("year BETWEEN 1900 AND 2025").limit(20)

@@ -2,6 +2,7 @@ from itertools import product
 
 import pytest
 from frames import papers, paper, rows, topic, work, works
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from paperloom.functions.nested import add_typed_column, by_name
@@ -54,6 +55,44 @@ def test_several_flags_at_once(spark, flags, other):
     assert rows(both, "never") == [(False,)] * 6
 
 
+@pytest.mark.parametrize("stride", [1, 3, 64, 10**9 + 7])
+@pytest.mark.parametrize("limit", [10**8, 60_000, 0])
+def test_ids_near_and_far_in_every_form(spark, stride, limit):
+    """Broadcast words, packed words, shuffled words; negative, null and repeated ids."""
+    table = spark.range(-3000, 3000).select((F.col("id") * stride).alias("corpusid"))
+    table = table.unionAll(spark.createDataFrame([(None,), (None,), (0,)], "corpusid bigint"))
+    table = table.withColumn("_word", F.lit("mine"))
+    a = spark.range(-900, 900).select((F.col("id") * 3 * stride).cast("bigint").alias("corpusid"))
+    b = spark.createDataFrame([(0,), (0,), (5 * stride,), (None,), (-(2**63),)], "corpusid bigint")
+    found = flag_all(table, {"a": a, "b": b}, broadcast_bytes=limit)
+    assert found.columns == ["corpusid", "_word", "a", "b"] and found.count() == 6003
+    got = {r.corpusid: (r.a, r.b) for r in found.filter("a OR b").collect()}
+    ids = {3 * i * stride for i in range(-900, 900)}
+    assert found.filter("_word = 'mine'").count() == 6003
+    assert got == {i: (i in ids, i in (0, 5 * stride)) for i in ids | {5 * stride}}
+
+
+def test_keys_that_are_no_numbers(spark):
+    table = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "corpusid string, n int")
+    other = spark.createDataFrame([("b",), ("c",), (None,)], "corpusid string")
+    for limit in (10**6, 0):
+        assert rows(flag_exists(table, other, "corpusid", "f", broadcast_bytes=limit), "n", "f") == [
+            (1, False), (2, True), (3, False)
+        ]
+
+
+@pytest.mark.parametrize("mode", ["incremental", "force"])
+def test_numbers_of_a_report_ride_along(flags, other, targets, lookup, topic_works, mode, tmp_path):
+    seen = Observation()
+    flag_all(flags, {"flag": other}, mode=mode, seen=seen).write.parquet(f"{tmp_path}/flags")
+    report = flag_report(flags, other, "corpusid", "flag", mode).first()
+    assert tuple(report)[:3] == tuple(seen.get[n] for n in ("total", "flag_updated", "flag_covered"))
+    seen = Observation()
+    enrich_topics(targets, lookup, topic_works, mode, seen=seen).write.parquet(f"{tmp_path}/topics")
+    report = topic_report(targets, lookup, topic_works, mode).first()
+    assert tuple(report)[:3] == tuple(seen.get[n] for n in ("total", "updated", "covered"))
+
+
 def test_flag_reports(flags, other):
     report = lambda mode: tuple(flag_report(flags, other, "corpusid", "flag", mode).first())
     assert report("incremental") == (6, 1, 3, 50.0)

@@ -1,5 +1,6 @@
 import pytest
-from frames import paper, papers, rows, work, works
+from frames import paper, papers, plan, rows, work, works
+from pyspark.sql import functions as F
 
 from paperloom.operators.link import papers_lookup
 
@@ -67,3 +68,13 @@ def test_hot_doi_is_complete(spark, rows_per_task):
     p = papers(spark, *[paper(i, doi="10.1/hot" if i % 3 else "10.1/cold") for i in range(90)])
     got = linked(p, w, rows_per_task=rows_per_task)
     assert got == sorted(((i, "W1" if i % 3 else "W2") for i in range(90)), key=repr)
+
+
+def test_papers_are_scanned_once(spark, tmp_path):
+    papers(spark, *[paper(None if i % 2 else i, doi="10.1/hot") for i in range(300)]).write.parquet(f"{tmp_path}/p")
+    p, w = spark.read.parquet(f"{tmp_path}/p"), works(spark, work("W1", doi=f"{DOI}hot"))
+    pairs = papers_lookup(p, w, rows_per_task=50)
+    assert f"{tmp_path}/p" not in plan(pairs)  # only what was staged is read again
+    assert len(linked(p, w, rows_per_task=50)) == 300
+    salts = [r["n"] for r in pairs.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(salts) == 300

@@ -4,6 +4,7 @@ import re
 
 import pytest
 from frames import plan, work, works
+from pyspark.sql import functions as F
 
 from paperloom.operators import corpus, dedup, enrich, link, metrics, trends
 from paperloom.registry.fixtures import Tables
@@ -78,7 +79,8 @@ def test_lookup_is_narrow(t):
     for schema in scans(text):
         assert "venue" not in schema and "s2fieldsofstudy" not in schema
         assert "ArXiv" not in schema and "concepts" not in schema
-    assert "IsNotNull(externalids.DOI)" in text and "IsNotNull(doi)" in text
+    # Papers were scanned for the staged ids and DOIs only; works are scanned here.
+    assert len(scans(text)) == 2 and "IsNotNull(doi)" in text
 
 
 def test_metrics_use_one_scan_one_join_and_one_aggregate(t):
@@ -93,6 +95,19 @@ def test_metrics_use_one_scan_one_join_and_one_aggregate(t):
         assert "GreaterThanOrEqual(year,1900)" in text
 
 
+@pytest.mark.parametrize("stride", [1, 97, 10**9 + 7])
+def test_papers_stay_in_place_for_a_million_ids(spark, t, stride):
+    """Near or far apart: too many to broadcast one by one, few enough as packed words."""
+    many = spark.range(1_000_000).select((F.col("id") * stride).alias("corpusid"))
+    ids = t.papers.select("corpusid")
+    flagged = enrich.flag_all(ids, {"flag": many})
+    (above,) = re.findall(r"(?s)(.*?)BroadcastExchange", plan(flagged).split("\n\n\n")[0])
+    assert "BroadcastHashJoin" in above and not re.search(r"[-+ ]Exchange\b", above)
+    known = {r.corpusid for r in ids.collect()}
+    hits = sum(i is not None and i % stride == 0 and i // stride < 10**6 for i in known)
+    assert flagged.filter("flag").select("corpusid").distinct().count() == hits
+
+
 def test_topics_in_place_for_few_papers(t):
     lookup = link.papers_lookup(t.papers, dedup.best_records(t.works, ["publication_year"]))
     prior = t.papers_prior.select("corpusid", "oa_topics")

@@ -70,3 +70,19 @@ def test_stage_of_nothing(left):
 
 def test_has_repeated(left):
     assert has_repeated(left, "key") and not has_repeated(left, "id")
+
+
+@pytest.mark.parametrize("rows_per_task, exact", [(100, False), (100, True), (10_000, False)])
+def test_hot_keys_sketched_during_the_write(left, rows_per_task, exact, monkeypatch):
+    if exact:  # more rows than the sketch can tell apart
+        monkeypatch.setattr(skew, "SKETCH_KEYS", 1)
+    frame, hot = skew.staged_with_hot_keys(left, "key", "keys", rows_per_task)
+    assert rows(frame, "id", "key") == rows(left, "id", "key")
+    counted = hot_keys(left, "key", rows_per_task)
+    if counted is None:
+        assert hot is None
+    else:  # the sketch leaves NULL out, which no equality join can match
+        null = left.select(F.xxhash64(F.lit(None).cast("string")).alias("h")).first()["h"]
+        listed = {r[0]: r[1] for r in counted.collect() if r[0] != null}
+        assert {r[0]: r[1] for r in hot.collect() if r[0] != null} == listed
+    assert skew.staged_with_hot_keys(left.filter("false"), "key", "none")[1] is None
