@@ -128,19 +128,25 @@ def flag_report(
 # ---- topics --------------------------------------------------------------------------------
 
 
-def _winning_works(pairs: DataFrame, works: DataFrame) -> Staged:
-    """(corpusid, oa_id, one): the smallest work that exists of those each paper is linked to.
+def _one_link(pairs: DataFrame, works: DataFrame) -> Staged:
+    """(corpusid, oa_id): the smallest work that exists of those each paper is linked to.
 
-    Ids alone are joined and aggregated. `one` says that a single row of the works was found for
-    the paper, so that there is nothing to choose among when topics are fetched.
+    A paper with one link keeps it. That others have several is seen while the links are written;
+    only their links are checked against the ids of the works. Nothing wide is read here.
     """
-    ids = works.filter(F.col("id").isNotNull()).select(F.col("id").alias("oa_id"))
-    found = (
-        pairs.join(ids, "oa_id")
+    links = pairs.groupBy("corpusid").agg(F.min("oa_id").alias("oa_id"), F.max("oa_id").alias("last"))
+    staged = stage(links, "topic-links", several=F.count_if(F.col("oa_id") != F.col("last")))
+    if not staged.seen["several"]:
+        return staged
+    contested = staged.frame.filter("oa_id <> last").select("corpusid")
+    chosen = (
+        pairs.join(contested, "corpusid", "left_semi")
+        .join(works.select(F.col("id").alias("oa_id")), "oa_id", "left_semi")
         .groupBy("corpusid")
-        .agg(F.min("oa_id").alias("oa_id"), (F.count(F.lit(1)) == 1).alias("one"))
+        .agg(F.min("oa_id").alias("oa_id"))
     )
-    return stage(found, "topic-winners", several=F.count_if(~F.col("one")))
+    single = staged.frame.filter("oa_id = last").select("corpusid", "oa_id")
+    return stage(single.unionAll(chosen), "topic-winners")
 
 
 def _assigned_topics(
@@ -154,42 +160,41 @@ def _assigned_topics(
 
     A paper linked to several works takes the one with the smallest id, and among copies of
     that work one that has topics. The work is chosen on narrow rows first, then its topics are
-    fetched once: works in place if the winners are few, else both by a shuffle. Only rows of
-    papers for which several rows were found, copies perhaps, pass an aggregate with their topics.
+    fetched once: works in place if the papers are few, else both by a shuffle. Topics pass an
+    aggregate only where ids of works may repeat.
     """
     payload = works.filter(F.col("id").isNotNull()).select(
         F.col("id").alias("oa_id"),
         column_by_name(works, "topics", type_of(TOPICS)).alias("topics"),
         column_by_name(works, "concepts", type_of(CONCEPTS)).alias("concepts"),
     )
-    staged = _winning_works(pairs, works)
-
-    def fetched(winners: DataFrame, contents: DataFrame) -> DataFrame:
-        if staged.fits(broadcast_bytes):
-            return contents.join(F.broadcast(winners), "oa_id")
+    content = F.struct(F.col("topics").isNull().alias("without"), "topics", "concepts")
+    first = F.min("content").alias("content")
+
+    staged = _one_link(pairs, works)
+    links = staged.frame.select("corpusid", "oa_id")
+    if staged.fits(broadcast_bytes):
+        # Few papers to fill: the works are scanned in place, not shuffled.
+        contents = payload.select("oa_id", content.alias("content"))
+        matched = contents.join(F.broadcast(links), "oa_id")
+        if not unique_ids:
+            matched = matched.groupBy("corpusid").agg(first)
+    else:
         keys = [_ID_HASH, "oa_id"]
+        hot = hot_keys(links, "oa_id", rows_per_task)
         if hot is not None:
-            winners = spread(winners, "oa_id", F.col("corpusid"), hot)
-            contents = replicate(contents, "oa_id", hot)
+            links = spread(links, "oa_id", F.col("corpusid"), hot)
+            payload = replicate(payload, "oa_id", hot)
             keys.append(SALT)
         # Sorted by hash first: ids all start alike and compare slowly.
-        winners, contents = (f.withColumn(_ID_HASH, F.xxhash64("oa_id")) for f in (winners, contents))
-        return contents.join(winners.hint("shuffle_hash"), keys)
-
-    few = staged.fits(broadcast_bytes)
-    hot = None if few else hot_keys(staged.frame, "oa_id", rows_per_task)
-    result = ["corpusid", "topics", "concepts"]
-    if unique_ids or not staged.seen["several"]:
-        return fetched(staged.frame.drop("one"), payload).select(*result)
-    single = fetched(staged.frame.filter("one").drop("one"), payload).select(*result)
-    content = F.struct(F.col("topics").isNull().alias("without"), "topics", "concepts")
-    copies = (
-        fetched(staged.frame.filter("NOT one").drop("one"), payload)
-        .groupBy("corpusid")
-        .agg(F.min(content).alias("content"))
-        .select("corpusid", "content.topics", "content.concepts")
-    )
-    return single.unionAll(copies)
+        id_hash = F.xxhash64("oa_id").alias(_ID_HASH)
+        contents = payload.select(id_hash, *keys[1:], content.alias("content"))
+        if not unique_ids:
+            # Same keys as the join, which then needs no further shuffle.
+            contents = contents.groupBy(*keys).agg(first)
+        links = links.withColumn(_ID_HASH, F.xxhash64("oa_id"))
+        matched = contents.join(links.hint("shuffle_hash"), keys)
+    return matched.select("corpusid", "content.topics", "content.concepts")
 
 
 def _topic_state(
