@@ -28,7 +28,6 @@ MIN_REVISIT_BYTES = 1000
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
 HEADER_END = b"\r\n\r\n"
 RECORD_END = b"\r\n\r\n"
-MAX_HEADER = 1 << 20  # bytes; a longer header is taken for chance
 
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
@@ -118,10 +117,12 @@ class _File:
         """Fields of the header at `start` and the offset of what follows it."""
         while True:
             head = self.read(start, window)
+            if not MAGIC.match(head):
+                return None
             end = head.find(HEADER_END)
             if end >= 0:
                 break
-            if window >= MAX_HEADER or start + window >= self.size:
+            if start + window >= self.size:
                 return None
             window *= 8
         fields = {}
@@ -131,20 +132,27 @@ class _File:
                 fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
         return fields, start + end + len(HEADER_END)
 
-    def successor(self, start: int) -> int | None:
-        """Where a record that starts here would end, if its header is one."""
+    def record(self, start: int) -> tuple[dict[str, str], int, int] | None:
+        """Header fields, beginning and length of the block of a whole record that starts here."""
         found = self.header(start)
-        if not found or not found[0].get("content-length", "").isascii():
+        length = found[0].get("content-length", "") if found else ""
+        if not (length.isascii() and length.isdigit()):
             return None
-        length = found[0].get("content-length", "")
-        if not length.isdigit():
-            return None
-        end = found[1] + int(length) + len(RECORD_END)
-        return end if end <= self.size else None
+        whole = found[1] + int(length) + len(RECORD_END) <= self.size
+        return (*found, int(length)) if whole else None
+
+    def successor(self, start: int) -> int | None:
+        """Where a record that starts here would end, if there is a whole one."""
+        found = self.record(start)
+        return found and found[1] + found[2] + len(RECORD_END)
 
 
 def _crossings(batches):
-    """For each candidate of each split: the first offset beyond the split on its way."""
+    """For each candidate of each split: the first offset beyond the split on its way.
+
+    A way that breaks off inside the split leads to no other; its records are read all the same
+    if its beginning is reached.
+    """
     for batch in batches:
         rows = []
         for name, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -157,7 +165,6 @@ def _crossings(batches):
                 if following is not None and following < end:
                     following = leaves.get(following)
                 leaves[offset] = following
-            # A way that breaks off inside the split leads nowhere.
             rows.extend((name, a, b) for a, b in leaves.items() if b is not None)
         names, offsets, exits = zip(*rows, strict=True) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -166,8 +173,9 @@ def _crossings(batches):
         )
 
 
-def _reachable(crossings: DataFrame) -> DataFrame:
+def _reachable(crossings: DataFrame, files: DataFrame) -> DataFrame:
     """Entries of splits that lie on the way from a file's beginning: file, offset."""
+    beginnings = files.select("file", F.lit(0).cast("long").alias("offset"))
     # Only where some way leads to, or a file begins, can an entry be.
     targets = crossings.select("file", F.col("exit").alias("offset")).distinct()
     jumps = written(
@@ -176,7 +184,7 @@ def _reachable(crossings: DataFrame) -> DataFrame:
         .distinct(),
         "warc-jumps",
     )
-    reached = written(jumps.filter("offset = 0").select("file", "offset"), "warc-reached")
+    reached = written(beginnings, "warc-reached")
     while True:
         ahead = jumps.join(reached, ["file", "offset"]).select("file", F.col("exit").alias("offset"))
         more = written(reached.unionByName(ahead).distinct(), "warc-reached")
@@ -197,16 +205,19 @@ def _page(urn: str | None) -> int | None:
 
 def _records(with_payload: bool):
     """Read the records of a split from its entry on."""
-    names = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+    names = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload", "broken_at"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64()]
 
     def run(batches):
         for batch in batches:
             for name, at, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 file, rows, size = _File(name), [], 0
                 while at < end and at < file.size:
-                    fields, body = file.header(at)
-                    length = int(fields["content-length"])
+                    found, here = file.record(at), at
+                    if found is None:
+                        rows.append((None, "broken", None, None, None, None, here))
+                        break
+                    fields, body, length = found
                     block = file.read(body, length)
                     at = body + length + len(RECORD_END)
                     kind = fields.get("warc-type")
@@ -216,13 +227,15 @@ def _records(with_payload: bool):
                     digest = hashlib.sha1(payload).hexdigest()
                     said = fields.get("warc-payload-digest", "").removeprefix("sha1:")
                     if kind == "response" and said and said != digest:
-                        raise ValueError(f"{name}, {at}: the payload does not fit its digest")
+                        rows.append((None, "broken", None, None, None, None, here))
+                        continue  # lost bytes show there, as no record begins at its end
                     page = _page(fields.get("warc-record-id"))
                     if kind == "revisit":
-                        rows.append((page, kind, _page(fields.get("warc-refers-to")), None, None, None))
+                        first = _page(fields.get("warc-refers-to"))
+                        rows.append((page, kind, first, None, said or None, None, None))
                     else:
                         kept = payload if with_payload else None
-                        rows.append((page, kind, None, len(payload), digest, kept))
+                        rows.append((page, kind, None, len(payload), digest, kept, None))
                     size += len(payload)
                     if size > SPLIT_BYTES:
                         yield _batch(rows, names, types)
@@ -245,11 +258,14 @@ def read_archive(
 ) -> DataFrame:
     """Response and revisit records of all files below `path`.
 
-    Returns page_id, record_type, refers_to, payload_bytes, payload_digest (hex SHA-1) and
-    payload (null unless asked for); the last three are null for a revisit. Bytes inside a
-    payload that look like a record are not one. What follows a broken record is not reachable
-    from the file's beginning and is not returned; a payload that contradicts its digest fails
-    the task. Files without records, and no files, give an empty result.
+    Returns page_id, record_type, refers_to, payload_bytes, payload_digest (hex SHA-1), payload
+    (null unless asked for) and broken_at. Of a revisit the digest is what its header says, bytes
+    and payload are null. Bytes inside a payload that look like a record are not one. Headers may
+    have any length. All whole records in front of a broken or cut one are returned, and for that
+    one a row of type "broken" with its offset in the file as broken_at, else null; a payload that
+    contradicts its digest makes a record broken. What follows it is returned only if it begins
+    where the broken one says that it ends; else that place is broken too. A file that does not begin with a record is broken
+    at 0. No files and empty files give an empty result.
     """
     ship(spark)
     files = (
@@ -271,7 +287,7 @@ def read_archive(
         splits.repartition(n).mapInArrow(_crossings, "file string, offset long, exit long"),
         "warc-crossings",
     )
-    entries = _reachable(crossings)
+    entries = _reachable(crossings, files.select(F.col("path").alias("file")))
     split_start = F.floor(F.col("offset") / split_bytes) * split_bytes
     # A split has one entry on the true way; one that a record spans has none.
     work = (
@@ -284,34 +300,36 @@ def read_archive(
     return work.repartition(n).mapInArrow(
         _records(with_payload),
         "page_id long, record_type string, refers_to long, payload_bytes long, "
-        "payload_digest string, payload binary",
+        "payload_digest string, payload binary, broken_at long",
     )
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """Revisits get size and digest of the response that they refer to."""
-    asked = records.filter("record_type = 'revisit'").select(
-        F.col("refers_to").alias("page_id")
-    )
+    """Revisits get size and digest of the response that they refer to.
+
+    That is the one with the page_id and, where the revisit names it, the digest: page ids may
+    repeat. Only revisits are joined, all other rows stay as they are.
+    """
+    revisit = F.coalesce(F.col("record_type") == "revisit", F.lit(False))
+    asked = records.filter(revisit)
     found = stage(
         records.filter("record_type = 'response'")
-        .join(asked.distinct(), "page_id", "left_semi")
-        .select(
-            F.col("page_id").alias("refers_to"),
-            F.col("payload_bytes").alias("full_bytes"),
-            F.col("payload_digest").alias("full_digest"),
-        )
-        .dropDuplicates(["refers_to"]),
+        .join(asked.select(F.col("refers_to").alias("page_id")).distinct(), "page_id", "left_semi")
+        .groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("full_digest"))
+        .agg(F.max("payload_bytes").alias("full_bytes")),
         "warc-responses",
     )
-    full = F.broadcast(found.frame) if found.fits(BROADCAST_BYTES) else found.frame
-    return (
-        records.join(full, "refers_to", "left")
-        .withColumns(
-            {
-                "payload_bytes": F.coalesce("payload_bytes", "full_bytes"),
-                "payload_digest": F.coalesce("payload_digest", "full_digest"),
-            }
-        )
-        .drop("full_bytes", "full_digest")
+    hinted = lambda df: F.broadcast(df) if found.fits(BROADCAST_BYTES) else df
+    full = found.frame.withColumn("payload_digest", F.col("full_digest"))
+    one = found.frame.groupBy("refers_to").agg(
+        F.min_by("full_bytes", "full_digest").alias("full_bytes"), F.min("full_digest").alias("full_digest")
+    )
+    named = asked.filter("payload_digest IS NOT NULL").join(hinted(full), ["refers_to", "payload_digest"], "left")
+    nameless = asked.filter("payload_digest IS NULL").join(hinted(one), "refers_to", "left")
+    resolved = named.unionByName(nameless).withColumns(
+        {
+            "payload_bytes": F.coalesce("payload_bytes", "full_bytes"),
+            "payload_digest": F.coalesce("full_digest", "payload_digest"),
+        }
     )
+    return records.filter(~revisit).unionByName(resolved.drop("full_bytes", "full_digest"))

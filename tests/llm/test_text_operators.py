@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import os
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -276,6 +278,61 @@ def test_archive_of_nothing(spark, tmp_path):
     assert warc.read_archive(spark, f"{tmp_path}/none").isEmpty()
 
 
+@pytest.fixture(scope="module")
+def archive(spark, tmp_path_factory):
+    """Bytes of one file with 20 records, and where each begins."""
+    path = f"{tmp_path_factory.mktemp('archive')}/a"
+    rows = [(i, f"http://x/{i}", f"page {i} WARC/1.1\r\n " * (i % 7 + 1)) for i in range(20)]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    (name,) = [f for f in os.listdir(path) if f.startswith("part-")]
+    with open(f"{path}/{name}", "rb") as file:
+        data = file.read()
+    return data, [m.start() for m in re.finditer(rb"WARC/1\.1\r\nWARC-Type", data)]
+
+
+def read_bytes(spark, folder, data, split):
+    folder.mkdir()
+    (folder / "x.warc").write_bytes(data)
+    found = warc.read_archive(spark, str(folder), split_bytes=split).collect()
+    whole = sorted(r.page_id for r in found if r.record_type != "broken")
+    return whole, sorted(r.broken_at for r in found if r.record_type == "broken")
+
+
+@pytest.mark.parametrize("split", [700, 1 << 24])
+def test_whole_records_in_front_of_a_break(spark, archive, tmp_path, split):
+    data, starts = archive
+    assert read_bytes(spark, tmp_path / "all", data, split) == (list(range(20)), [])
+    # The last record is cut, anywhere.
+    for at in (starts[19] + 20, len(data) - 5):
+        assert read_bytes(spark, tmp_path / f"cut{at}", data[:at], split) == (list(range(19)), [starts[19]])
+    # A record in the middle has lost bytes of its payload.
+    at = starts[11] - 10
+    lost = data[: at - 6] + data[at:]
+    assert read_bytes(spark, tmp_path / "middle", lost, split) == (list(range(10)), [starts[10], starts[11]])
+    # One byte of it has changed: its length still says where the next one begins.
+    changed = data[:at] + b"#" + data[at + 1 :]
+    assert read_bytes(spark, tmp_path / "changed", changed, split) == (
+        [i for i in range(20) if i != 10], [starts[10]]
+    )
+    assert read_bytes(spark, tmp_path / "none", b"no archive at all", split) == ([], [0])
+
+
+def test_long_headers_and_repeated_pages(spark, tmp_path, monkeypatch):
+    a, b = "A" * 1500, "B" * 1500
+    rows = [(5, "u", a), (5, "u", b), (1, "u", a), (2, "u" * 5_000_000, b), (3, None, "small")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archive(pages, f"{tmp_path}/w")
+    records = warc.read_archive(spark, f"{tmp_path}/w", split_bytes=1 << 20)
+    digest = lambda h: hashlib.sha1(h.encode()).hexdigest()
+    for limit in (10**9, 0):
+        monkeypatch.setattr(warc, "BROADCAST_BYTES", limit)
+        found = warc.resolve_revisits(records)
+        assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to or 0) for r in found.collect()) == [
+            (1, 1500, digest(a), 5), (2, 1500, digest(b), 5), (3, 5, digest("small"), 0),
+            *sorted([(5, 1500, digest(a), 0), (5, 1500, digest(b), 0)]),
+        ]
+
+
 # ---- neighbours ----
 
 
