@@ -280,7 +280,7 @@ def _(t: Tables) -> DataFrame:
     calls = []
     for call, force in ((1, False), (2, False), (3, True)):
         created, stats = tables.create_if_absent(t.spark, path, lambda: _corpus(t), force=force)
-        # The last call replaces the files that the statistics of the first two describe.
+        # The rows that this call made or found, though a later one makes another version.
         kept = stage(stats, "corpus-stats").frame
         calls.append(kept.select(F.lit(call).alias("call"), F.lit(created).alias("created"), "*"))
     return calls[0].unionAll(calls[1]).unionAll(calls[2])

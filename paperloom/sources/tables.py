@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -90,6 +91,19 @@ def table_at(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Folder of the newest complete version below `root`.
+
+    A version is complete with the marker that Spark's committer writes last, as one step. What a
+    killed write left behind has none and does not count. Names of versions sort by their time.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    marks = hadoop.Path(f"{root.rstrip('/')}/version-*/_SUCCESS")
+    found = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(marks)
+    folders = sorted(mark.getPath().getParent().toString() for mark in found or [])
+    return folders[-1] if folders else None
+
+
 def create_if_absent(
     spark: SparkSession,
     path: str,
@@ -97,14 +111,19 @@ def create_if_absent(
     year_column: str = "year",
     force: bool = False,
 ) -> tuple[bool, DataFrame]:
-    """Write `make()` to `path` unless a table is there; returns (created, statistics)."""
-    table = None if force else table_at(spark, path)
-    created = table is None
-    if created:
-        frame = make()
-        write_table(frame, path)
-        table = read_back(frame, path)
-    return created, load_stats(table, year_column)
+    """Write `make()` below `path` unless a table is there; returns (created, statistics).
+
+    Every write is a new version, which becomes the current one when it is complete: readers of
+    the old one are not disturbed, with `force` either, `make` may read it, and a write that
+    is killed midway changes nothing. `current_version` tells where the table is.
+    """
+    done = None if force else current_version(spark, path)
+    if done is not None:
+        return False, load_stats(spark.read.parquet(done), year_column)
+    frame = make()
+    version = f"{path.rstrip('/')}/version-{time.time_ns():020d}-{uuid.uuid4().hex}"
+    write_table(frame, version)
+    return True, load_stats(read_back(frame, version), year_column)
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:

@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -111,6 +112,30 @@ def test_create_if_absent(spark, dated, tmp_path):
     assert len(made) == 2
 
 
+def test_a_killed_write_is_not_taken_as_done(spark, dated, tmp_path):
+    path = f"{tmp_path}/t"
+    half = f"{path}/version-00000000000000000001-killed"
+    dated.write.parquet(half)
+    os.remove(f"{half}/_SUCCESS")  # as it is until the committer has moved all files
+    assert tables.current_version(spark, path) is None
+    assert tables.create_if_absent(spark, path, lambda: dated)[0]
+    first = tables.current_version(spark, path)
+
+    def failing():
+        return dated.withColumn("year", F.raise_error(F.lit("killed")).cast("int"))
+
+    with pytest.raises(Exception, match="killed"):
+        tables.create_if_absent(spark, path, failing, force=True)
+    assert tables.current_version(spark, path) == first
+    created, stats = tables.create_if_absent(spark, path, failing)
+    assert not created and stats.first()["total_rows"] == 6
+    # A version may be made from the one before, whose readers keep their files.
+    reader = spark.read.parquet(first)
+    assert tables.create_if_absent(spark, path, lambda: spark.read.parquet(first).limit(2), force=True)[0]
+    assert reader.count() == 6
+    assert spark.read.parquet(tables.current_version(spark, path)).count() == 2
+
+
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     frames = [
