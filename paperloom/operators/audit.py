@@ -6,6 +6,7 @@ import time
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +53,15 @@ def recent_runs(spark: SparkSession, log: str, n: int = 20) -> DataFrame:
 
 
 def latest_path(spark: SparkSession, log: str, job: str) -> str | None:
-    """Where the latest run of `job` wrote its table."""
+    """Where the latest run of `job` wrote its table, if there is a log and such a run."""
+    try:
+        runs = run_log(spark, log)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     last = (
-        run_log(spark, log)
-        .filter((F.col("job") == job) & F.col("path").isNotNull())
+        runs.filter((F.col("job") == job) & F.col("path").isNotNull())
         .orderBy(F.desc("run_id"))
         .select("path")
         .first()

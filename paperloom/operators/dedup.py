@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.columns import list_length
 from paperloom.functions.skew import ROWS_PER_TASK, salted_join
-from paperloom.functions.staging import BROADCAST_BYTES, has_repeated, stage
+from paperloom.functions.staging import BROADCAST_BYTES, Staged, stage
 
 
 def _counted(works: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -66,26 +66,53 @@ def best_records(
     One aggregate over narrow columns. Its map-side half leaves one row per key and task,
     so a key with a third of all rows costs no more than any other.
     """
-    return _winners(works, columns, key, id_col).filter(F.col(id_col).isNotNull())
+    best = _winners(works, columns, key, id_col).filter(F.col(id_col).isNotNull())
+    return best.drop("_mixed")
 
 
 def _winners(works: DataFrame, columns: Sequence[str], key: str, id_col: str) -> DataFrame:
-    """`best_records`, also for keys whose best record has no id."""
+    """`best_records`, also for keys whose best record has no id.
+
+    _mixed is the xor of all hashes of ids: of two records with one id it is zero.
+    """
     payload = [F.struct(*columns).alias("payload")] if columns else []
     best = F.min(F.struct(*_rank(id_col), *payload))
     return (
         _counted(works, key, [id_col, *columns])
         .groupBy(_sortable(key), key)
-        .agg(best.alias("best"), F.count(F.lit(1)).alias("copies"))
+        .agg(
+            best.alias("best"),
+            F.count(F.lit(1)).alias("copies"),
+            F.bit_xor(F.xxhash64(id_col)).alias("_mixed"),
+        )
         .select(
             key,
             F.col("best.id").alias(id_col),
             *[F.col(f"best.payload.{c}").alias(c) for c in columns],
             "copies",
+            "_mixed",
         )
     )
 
 
+def _repeated_winners(
+    works: DataFrame, winners: Staged, key: str, id_col: str, broadcast_bytes: int
+) -> DataFrame:
+    """Keys whose best record shares its id with another record of the key.
+
+    Only suspects of the ranking are looked at, on keys and ids; map tasks count before the shuffle.
+    """
+    pairs = works.select(key, F.col(id_col).alias("_keep"))
+    suspects = winners.frame.filter("_suspect").select(key, "_keep")
+    few = winners.fits(broadcast_bytes)
+    if few:
+        pairs = pairs.join(F.broadcast(suspects), [key, "_keep"], "left_semi")
+    counted = pairs.groupBy(key, "_keep").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not few:
+        counted = counted.join(suspects, [key, "_keep"], "left_semi")
+    return counted.select(key, F.lit(True).alias("_repeated"))
+
+
 def dedup_works(
     works: DataFrame,
     key: str = "doi",
@@ -101,15 +128,15 @@ def dedup_works(
     the works drops the losers. Too many such keys to broadcast: a shuffled join, salted for
     keys with many copies.
 
-    That needs unique ids. `unique_ids=None` checks; with repeated ids the wide rows are
-    ranked directly, each map task first cutting its rows to one per key.
+    That needs ids that do not repeat within a key. `unique_ids=True` promises it.
+    `unique_ids=None` looks: the ranking tells which keys can have repeats, and only rows that
+    share key and id with such a key's best record are ranked as wide rows. `unique_ids=False`
+    ranks all wide rows directly, each map task first cutting its rows to one per key.
     """
     with_key = works.filter(F.col(key).isNotNull())
-    if unique_ids is None:
-        unique_ids = not has_repeated(works.select(id_col), id_col)
-    if not unique_ids:
-        rest = [c for c in works.columns if c != key]
-        ranked = Window.partitionBy(_sortable(key), key).orderBy(*_rank(id_col))
+    rest = [c for c in works.columns if c != key]
+    ranked = Window.partitionBy(_sortable(key), key).orderBy(*_rank(id_col))
+    if unique_ids is False:
         return (
             _counted(works, key, rest)
             .withColumn("_rn", F.row_number().over(ranked))
@@ -118,14 +145,34 @@ def dedup_works(
         )
 
     copied = _winners(works, (), key, id_col).filter(F.col("copies") > 1)
-    keep = [F.col(id_col).alias("_keep"), F.lit(True).alias("_copied")]
-    winners = stage(copied.select(key, *keep), "doi-winners")
+    # Two records differ in their ids unless the hashes cancel out; more have to be looked at.
+    suspect = (F.col("copies") > 2) | (F.col("_mixed") == 0)
+    keep = [F.col(id_col).alias("_keep"), F.lit(True).alias("_copied"), suspect.alias("_suspect")]
+    winners = stage(copied.select(key, *keep), "doi-winners", suspects=F.count_if("_suspect"))
+    repeats = False
+    if unique_ids is None and winners.seen["suspects"]:
+        found = stage(
+            _repeated_winners(with_key, winners, key, id_col, broadcast_bytes), "doi-repeats"
+        )
+        repeats = found.rows > 0
+        if repeats:
+            few = F.broadcast(found.frame) if found.fits(broadcast_bytes) else found.frame
+            winners = stage(winners.frame.join(few, key, "left"), "doi-winners")
+    side = winners.frame.drop("_suspect")
     if winners.fits(broadcast_bytes):
-        joined = with_key.join(F.broadcast(winners.frame), key, "left")
+        joined = with_key.join(F.broadcast(side), key, "left")
     else:
         joined = salted_join(
-            with_key, winners.frame, key, F.col(id_col), "left", rows_per_task, hash_right=True
+            with_key, side, key, F.col(id_col), "left", rows_per_task, hash_right=True
         )
     single = F.col("_copied").isNull() & F.col(id_col).isNotNull()
     kept = joined.filter(single | (F.col(id_col) == F.col("_keep")))
-    return kept.select(*works.columns)
+    if not repeats:
+        return kept.select(*works.columns)
+    several = (
+        _counted(kept.filter("_repeated"), key, rest)
+        .withColumn("_rn", F.row_number().over(ranked))
+        .filter("_rn = 1")
+    )
+    once = kept.filter(F.col("_repeated").isNull())
+    return once.select(*works.columns).unionAll(several.select(*works.columns))

@@ -13,9 +13,10 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.functions.columns import percent
 from paperloom.functions.staging import has_repeated
 from paperloom.operators import audit, corpus, dedup, enrich, link, metrics, trends
 from paperloom.sources import export, scan, tables
@@ -25,6 +26,8 @@ from paperloom.sources import export, scan, tables
 _EXTERNAL = ("s2_abstracts", "s2orc_v2")
 _LOADED = ("oa_works", "s2_papers")
 _YEARS = {"publication_year": "int", "year": "bigint"}
+# Log records of how many papers a derived column covers.
+_COVERAGE = "coverage of "
 
 
 def topic_years(works: DataFrame, papers: DataFrame) -> DataFrame:
@@ -63,6 +66,8 @@ class Database:
     jobs: list[str] = field(default_factory=list)
     # Whether ids of the works repeat; None until `deduplicate` has looked.
     unique_ids: bool | None = None
+    # The versions that steps opened last.
+    opened: dict[str, str] = field(default_factory=dict)
 
     @property
     def log(self) -> str:
@@ -76,15 +81,22 @@ class Database:
         year_column: str | None = None,
         seen: Observation | None = None,
         reports: Mapping[str, str] | None = None,
+        covered: Mapping[str, Column] | None = None,
         **facts,
     ) -> DataFrame:
         """Write a new version of table `job`, make it current and log it.
 
         Rows are counted while they are written, nothing is read again unless years are wanted.
         `seen`, which `df` observes, has the number of rows as `total`; `reports` names the jobs
-        to be logged with what else it has, each with the prefix of its numbers.
+        to be logged with what else it has, each with the prefix of its numbers. `covered` says
+        of the derived columns of a side table when they count as filled: for how many of the
+        current papers they are is logged as well, for `coverage`.
         """
         started = time.monotonic()
+        if covered:
+            held = Observation()
+            filled = {c: F.when(test, F.col("_papers")).otherwise(0) for c, test in covered.items()}
+            df = df.observe(held, *[F.sum(n).alias(c) for c, n in filled.items()]).drop("_papers")
         if seen is None and year_column is None:
             seen = Observation()
             df = df.observe(seen, F.count(F.lit(1)).alias("total"))
@@ -102,16 +114,21 @@ class Database:
                 "rows_covered": seen.get[f"{prefix}covered"],
             }
             runs.append({"job": name, **numbers, **facts})
+        if covered:
+            for column in covered:
+                kept = {"source": self.opened["s2_papers"], "rows_covered": held.get[column] or 0}
+                runs.append({"job": f"{_COVERAGE}{column}", **kept, **facts})
         audit.append_runs(self.spark, self.log, runs)
         self.jobs.extend(run["job"] for run in runs)
         return table
 
     def previous(self, job: str) -> DataFrame | None:
         """The current version of table `job`, if an earlier run made one."""
-        if tables.table_at(self.spark, self.log) is None:
-            return None
         path = audit.latest_path(self.spark, self.log, job)
-        return None if path is None else tables.table_at(self.spark, path)
+        if path is None:
+            return None
+        self.opened[job] = path
+        return tables.table_at(self.spark, path)
 
     def table(self, job: str) -> DataFrame:
         """The current version of table `job`, which an earlier step must have made."""
@@ -127,8 +144,12 @@ class Database:
         return found.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
 
     def _state(self, job: str, columns: Sequence[str]) -> DataFrame:
-        """Each paper id once, with the values an earlier run of `job` gave it."""
-        keys = self.table("s2_papers").select("corpusid").distinct().filter("corpusid IS NOT NULL")
+        """Each paper id once, with the values an earlier run of `job` gave it.
+
+        _papers says how many papers have the id.
+        """
+        papers = self.table("s2_papers").filter("corpusid IS NOT NULL")
+        keys = papers.groupBy("corpusid").agg(F.count(F.lit(1)).alias("_papers"))
         before = self.previous(job)
         if before is None:
             return keys
@@ -179,14 +200,22 @@ class Database:
         seen = Observation()
         flagged = enrich.flag_all(state, others, mode=mode, seen=seen)
         reports = {flag: f"{flag}_" for flag in flags}
-        self.publish("paper_flags", flagged, seen=seen, reports=reports, mode=mode)
+        covered = {flag: F.col(flag) for flag in flags}
+        self.publish("paper_flags", flagged, seen=seen, reports=reports, covered=covered, mode=mode)
 
     def enrich(self, mode: str = "incremental") -> None:
         state = self._state("paper_topics", ["oa_topics", "oa_concepts", "oa_primary_topic"])
         sides = self.table("papers_lookup"), self.table("oa_works")
         seen = Observation()
         filled = enrich.enrich_topics(state, *sides, mode, unique_ids=bool(self.unique_ids), seen=seen)
-        self.publish("paper_topics", filled, seen=seen, reports={"oa_topics": ""}, mode=mode)
+        self.publish(
+            "paper_topics",
+            filled,
+            seen=seen,
+            reports={"oa_topics": ""},
+            covered={"oa_topics": F.col("oa_topics").isNotNull()},
+            mode=mode,
+        )
 
     def _with(self, *sides: str) -> DataFrame:
         """Loaded papers with the columns of the given side tables.
@@ -203,6 +232,30 @@ class Database:
         """View `papers`: loaded papers with all their derived columns."""
         self._with("paper_flags", "paper_topics").createOrReplaceTempView("papers")
 
+    def coverage(self) -> DataFrame:
+        """`enrich.enrichment_coverage` of the view `papers`.
+
+        Side tables are counted while they are written, so this reads the run log alone. Only
+        where papers were loaded since then, their side table is joined and counted again.
+        """
+        log = audit.run_log(self.spark, self.log)
+        papers = log.filter("job = 's2_papers'").orderBy(F.desc("run_id")).first()
+        if papers is None:
+            raise ValueError(f"no table s2_papers below {self.root}: run the step that makes it")
+        kept = log.filter(F.col("job").startswith(_COVERAGE) & (F.col("source") == papers["path"]))
+        column = F.substring("job", len(_COVERAGE) + 1, 100)
+        latest = kept.groupBy(column.alias("column")).agg(
+            F.lit(papers["total_rows"]).alias("total"),
+            F.max_by("rows_covered", "run_id").alias("covered"),
+        )
+        pct = percent(F.col("covered"), F.col("total"), 1)
+        found = latest.select("column", "total", "covered", pct.alias("pct"))
+        known = {row["column"] for row in latest.collect()}
+        for side, first in (("paper_flags", "has_abstract"), ("paper_topics", "oa_topics")):
+            if first not in known and self.previous(side) is not None:
+                found = found.unionByName(enrich.enrichment_coverage(self._with(side)))
+        return found
+
     def count(self) -> None:
         papers = self._with("paper_flags")
         for group in metrics.GROUPS:

@@ -2,59 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.sources.manifest import parquet_footers
 from paperloom.sources.scan import scan_parquet
 
-_FOOTER = "path string, compressed bigint, rows bigint, uncompressed bigint"
-
-
-def parquet_footers(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(path, compressed, rows, uncompressed) of each file below `path`.
-
-    File names and sizes come from the listing; tasks then read footers only.
-    """
-
-    # Local, so that executors get the function itself and need not have this package.
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from urllib.parse import quote
-
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for batch in batches:
-            rows, sizes = [], []
-            for name in batch["path"]:
-                scheme, _, rest = name.partition(":")
-                if scheme == "file":  # names come with blanks and marks as they are
-                    filesystem, inner = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-                else:
-                    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-                    filesystem, inner = fs.FileSystem.from_uri(
-                        f"{scheme}:{quote(rest, safe='/:@=+,')}"
-                    )
-                with filesystem.open_input_file(inner) as file:
-                    meta = pq.read_metadata(file)
-                groups = (meta.row_group(i) for i in range(meta.num_row_groups))
-                rows.append(meta.num_rows)
-                sizes.append(sum(group.total_byte_size for group in groups))
-            yield batch.assign(rows=rows, uncompressed=sizes)
-
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(path)
-        .select("path", F.col("length").alias("compressed"))
-    )
-    tasks = spark.sparkContext.defaultParallelism
-    return files.repartition(tasks).mapInPandas(read, _FOOTER)
-
 
 def estimate_size(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """One row: files, rows, compressed and estimated in-memory gigabytes.

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paperloom.sources import manifest
+
 
 def scan_parquet(
     spark: SparkSession,
@@ -32,42 +34,25 @@ def scan_parquet(
     frame = reader.parquet(*roots)
     if not folder_columns:
         return frame
-    values = _folder_values(frame, roots)
-    if values and schema is None:
+    types = manifest.folder_columns(spark, roots, pattern)
+    if types and schema is None:
         # Files in such folders lack the column that others of the tree may have.
-        frame = reader.option("mergeSchema", "true").parquet(*roots)
-    return _with_folder_columns(frame, values)
-
-
-_FOLDER_VALUE = re.compile(r"/([^/=]+)=([^/]*)(?=/)")
-
-
-def _folder_values(frame: DataFrame, roots: Sequence[str]) -> dict[str, set[str]]:
-    """Values by column of the `column=value` folders below the roots, from Spark's listing."""
-    values: dict[str, set[str]] = {}
-    for file in frame.inputFiles():
-        for name, value in _FOLDER_VALUE.findall(file):
-            values.setdefault(name, set()).add(unquote(value))
-    above = {name for root in roots for name, _ in _FOLDER_VALUE.findall(f"/{root}/")}
-    return {name: found for name, found in values.items() if name not in above}
+        frame = reader.schema(manifest.merged_schema(spark, roots, pattern)).parquet(*roots)
+    return _with_folder_columns(frame, types)
 
 
-def _with_folder_columns(frame: DataFrame, values: dict[str, set[str]]) -> DataFrame:
-    for name in values:
+def _with_folder_columns(frame: DataFrame, types: dict[str, str]) -> DataFrame:
+    for name, kind in types.items():
         text = F.regexp_extract(
             F.col("_metadata.file_path"), f"/{re.escape(name)}=([^/]*)/", 1
         )
         text = F.nullif(F.url_decode(text), F.lit(""))
-        text = F.nullif(text, F.lit("__HIVE_DEFAULT_PARTITION__"))
-        known = values[name] - {"__HIVE_DEFAULT_PARTITION__"}
+        text = F.nullif(text, F.lit(manifest.NO_VALUE))
         column = unquote(name)
         if column in frame.columns:
-            kind = frame.schema[column].dataType
-            found = F.coalesce(text.cast(kind), F.col(f"`{column}`"))
+            found = F.coalesce(text.cast(frame.schema[column].dataType), F.col(f"`{column}`"))
         else:
-            whole = all(re.fullmatch(r"-?\d{1,18}", v) for v in known)
-            longest = max(map(len, known), default=0)
-            found = text.cast(("int" if longest < 10 else "bigint") if whole else "string")
+            found = text.cast(kind)
         frame = frame.withColumn(column, found)
     return frame
 

@@ -136,6 +136,38 @@ def test_update_counts_cost_no_second_join(spark, built):
     assert len(files()) == n + 1  # one file for all records of a step
 
 
+def test_coverage_comes_from_the_log(spark, inputs, tmp_path):
+    papers = spark.read.parquet(inputs.papers).filter("year BETWEEN 1900 AND 2025")
+    nameless = papers.limit(3).withColumn("corpusid", F.lit(None).cast("bigint"))
+    papers.unionAll(papers.limit(20)).unionAll(nameless).write.parquet(f"{tmp_path}/papers")
+    newer = Inputs(**{**vars(inputs), "papers": f"{tmp_path}/papers"})
+    db = Database(spark, f"{tmp_path}/database")
+    with pytest.raises(Exception):
+        db.coverage()
+    db.load(newer)
+    assert db.coverage().isEmpty()  # no side table yet
+    db.link()
+    db.flag()
+    db.enrich()
+
+    def check(joins):
+        db.compose()
+        counted, found = enrich.enrichment_coverage(spark.table("papers")), db.coverage()
+        assert rows(found, "column", "total", "covered", "pct") == rows(counted, "column", "total", "covered", "pct")
+        assert found.count() == 3
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert ("Join" in text) == joins
+
+    check(joins=False)
+    again = Inputs(**{**vars(inputs), "papers": inputs.papers})
+    db.load(again)
+    check(joins=True)  # counts of the other papers do not hold
+    db.flag("recompute")
+    check(joins=True)
+    db.enrich()
+    check(joins=False)
+
+
 def test_repeated_and_missing_ids_keep_their_rows(spark, inputs, tmp_path):
     papers = spark.read.parquet(inputs.papers)
     repeated = papers.filter("year BETWEEN 1900 AND 2025").limit(20)

@@ -107,6 +107,20 @@ def test_repeated_ids_leave_one_row_per_doi(spark):
     assert rows(dedup_works(table), "doi", "id") == [("a", "W1"), ("b", "W1")]
 
 
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_repeats_within_a_doi(spark, limit):
+    """Ids shared by several DOIs or by losers alone are no repeats; those of a winner are."""
+    table = [work("W1", doi="a", cited=5), work("W1", doi="a", cited=5), work("W1", doi="b")]
+    table += [work("W2", doi="a"), work("W3", doi="c", cited=9), work("W4", doi="c"), work("W4", doi="c")]
+    table += [work("W5", doi="d", cited=1), work("W5", doi="d", cited=7), work(None, doi="e"), work(None, doi="e")]
+    table += [work("W6", doi="f"), work("W7", doi="f"), work("W6", doi=None)]
+    frame = works(spark, *table)
+    kept = dedup_works(frame, broadcast_bytes=limit, rows_per_task=2)
+    assert rows(kept, "doi", "id") == [("a", "W1"), ("b", "W1"), ("c", "W3"), ("d", "W5"), ("f", "W6")]
+    assert kept.filter("doi = 'd'").first()["cited_by_count"] == 7
+    assert kept.columns == frame.columns
+
+
 def test_best_records_carries_columns(spark):
     table = works(spark, work("W1", year=1999), work("W2", year=2001, cited=5), work("W3", doi="z"))
     assert rows(best_records(table, ["publication_year"]), "id", "publication_year", "copies") == [

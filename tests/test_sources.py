@@ -5,14 +5,16 @@ import subprocess
 import sys
 from pathlib import Path
 
+import duckdb
 import pytest
 from frames import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader
 from pyspark.sql import functions as F
 
 from paperloom.operators import audit
 from paperloom.schemas import TABLES, struct_of
-from paperloom.sources import export, footers, releases, scan, tables
+from paperloom.sources import export, footers, manifest, releases, scan, tables
 
 # ---- scans ----
 
@@ -222,6 +224,52 @@ def test_size_estimate_of_empty_sample_and_folder(spark, tmp_path):
         footers.estimate_size(spark, f"{tmp_path}/empty").collect()
 
 
+def test_footers_agree_with_another_reader(spark, tmp_path):
+    for i in range(4):
+        spark.range(i * 1000).select("id", F.col("id").cast("string").alias("s")).coalesce(2).write.parquet(f"{tmp_path}/t/{i}")
+    found = footers.parquet_footers(spark, f"{tmp_path}/t").withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
+    sql = f"""
+        SELECT f.file_name AS path, s.size AS compressed, f.num_rows AS rows, coalesce(g.bytes, 0) AS uncompressed
+        FROM parquet_file_metadata('{tmp_path}/t/*/*.parquet') f
+        JOIN read_blob('{tmp_path}/t/*/*.parquet') s ON s.filename = f.file_name
+        LEFT JOIN (SELECT file_name, CAST(sum(total_uncompressed_size) AS BIGINT) AS bytes
+          FROM parquet_metadata('{tmp_path}/t/*/*.parquet') GROUP BY ALL) g ON g.file_name = f.file_name"""
+    expected = sorted(duckdb.sql(sql).fetchall())
+    assert rows(found, "path", "compressed", "rows", "uncompressed") == expected
+    gib, first = 1024.0**3, expected[0]
+    total = sum(r[2] for r in expected)
+    row = footers.estimate_size(spark, f"{tmp_path}/t").first()
+    assert (row.n_files, row.total_rows) == (len(expected), total)
+    per_row = first[3] / first[2] if first[2] else 0
+    assert row.estimated_memory_gb == round(total * per_row / gib, 1)
+    assert row.compressed_gb == round(sum(r[1] for r in expected) / gib, 2)
+    assert row.uncompressed_gb == round(sum(r[3] for r in expected) / gib, 2)
+
+
+def test_load_of_a_mixed_tree_merges_one_file_per_schema(spark, tmp_path, monkeypatch):
+    root = f"{tmp_path}/a tree [1]"
+    for year in range(30):
+        spark.range(2).withColumn("n", F.lit(year)).write.parquet(f"{root}/year={2000 + year}/x")
+    spark.range(3).select("id", F.lit(1990).cast("bigint").alias("year")).write.parquet(f"{root}/flat")
+    spark.range(1).select(F.lit("z").alias("extra"), "id").write.parquet(f"{root}/year=__HIVE_DEFAULT_PARTITION__/code=0a")
+    escaped = root.replace("[", "\\[").replace("]", "\\]")
+    listed = []
+    monkeypatch.setattr(DataFrame, "inputFiles", lambda frame: listed.append(frame))
+    found = scan.scan_parquet(spark, escaped, folder_columns=True)
+    assert not listed
+    assert dict(found.dtypes) == {"id": "bigint", "n": "int", "year": "bigint", "extra": "string", "code": "string"}
+    years = found.groupBy("year").count()
+    assert rows(years.filter("year < 2002"), "year", "count") == [(1990, 3), (2000, 2), (2001, 2)]
+    assert found.filter("extra = 'z' AND code = '0a' AND year IS NULL").count() == 1
+    assert found.filter("n = year - 2000").count() == 60
+    merged = []
+    read = DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda r, *p, **o: merged.append(p) or read(r, *p, **o))
+    manifest.merged_schema(spark, escaped)
+    assert [len(p) for p in merged] == [3]
+    assert manifest.folder_columns(spark, escaped) == {"code": "string", "year": "int"}
+
+
 def test_probe(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/some")
     spark.range(0).write.parquet(f"{tmp_path}/none")
