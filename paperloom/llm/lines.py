@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.staging import BROADCAST_BYTES, stage
+from paperloom.functions.staging import BROADCAST_BYTES, Staged, stage
 from paperloom.llm.common import column, unused
 from paperloom.llm.minhash import near_duplicates
 
@@ -56,34 +56,58 @@ def widespread_lines(lines: DataFrame, min_sites: int, lg_k: int = 12) -> DataFr
 
 
 def _copies(candidates: DataFrame, percent: int) -> DataFrame:
-    """Near-duplicate classes of `candidates` (key, site, text), by key.
+    """Site at which the near-duplicate class of a text counts, by key; candidates: key, site, text.
 
-    Returns key, copied (the class stands on several sites) and one (the one of its sites at
-    which the class counts; the choice differs from class to class).
+    Only classes of several sites are listed. The choice differs from class to class, by a digest
+    of the site and the class, which is known by its smallest digest of a text.
     """
     found = near_duplicates(candidates, percent, "key", "text")
     classes = found.select(
         F.col("doc_id").alias("key"), F.coalesce("component_id", "doc_id").alias("copy_class")
     ).distinct()
-    classed = stage(
-        candidates.select("key", "site").distinct().join(classes, "key"), "line-copies"
-    ).frame
-    site = F.col("site")
-    order = F.when(site.isNotNull(), F.xxhash64("copy_class", site))
-    by_class = classed.groupBy("copy_class").agg(
-        F.coalesce(F.min(site) < F.max(site), F.lit(False)).alias("copied"),
-        F.min_by(site, order).alias("one"),
+    described = candidates.select("key", "site", F.md5("text").alias("digest")).distinct()
+    classed = stage(described.join(classes, "key"), "line-copies").frame
+    several = (
+        classed.groupBy("copy_class")
+        .agg(F.min("digest").alias("label"), F.min("site").alias("low"), F.max("site").alias("high"))
+        .filter("low < high")
     )
-    keys = classed.select("key", "copy_class").distinct()
-    return keys.join(by_class, "copy_class").select("key", "copied", "one")
+    several = stage(several.select("copy_class", "label"), "line-classes")
+    if several.fits(BROADCAST_BYTES):
+        labelled = classed.join(F.broadcast(several.frame), "copy_class")
+    else:
+        salted = classed.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)))
+        labelled = salted.join(_salted(several.frame), ["copy_class", "salt"])
+    labelled = stage(labelled.select("key", "site", "copy_class", "label"), "line-labels").frame
+    order = F.when(F.col("site").isNotNull(), F.md5(F.concat_ws(":", "label", "site")))
+    chosen = labelled.groupBy("copy_class").agg(F.min_by("site", order).alias("one"))
+    chosen = stage(chosen, "line-sites")
+    keys = labelled.select("key", "copy_class").distinct()
+    if chosen.fits(BROADCAST_BYTES):
+        return keys.join(F.broadcast(chosen.frame), "copy_class").select("key", "one")
+    salted = keys.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)))
+    return salted.join(_salted(chosen.frame), ["copy_class", "salt"]).select("key", "one")
+
+
+def _salted(frame: DataFrame) -> DataFrame:
+    """Every row of `frame` once for each salt."""
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
+    return frame.withColumn("salt", F.explode(salts))
+
+
+def _with_lines(lines: DataFrame, shared: Staged) -> DataFrame:
+    """Rows of `lines` (key, line) whose line is one of `shared`; a hot line is salted."""
+    if shared.fits(BROADCAST_BYTES):
+        return lines.join(F.broadcast(shared.frame), "line", "left_semi")
+    salted = lines.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)))
+    return salted.join(_salted(shared.frame), ["line", "salt"], "left_semi").drop("salt")
 
 
 def remove_boilerplate(
     docs: DataFrame,
     min_sites: int = 10,
-    max_share: float = 0.5,
+    near_percent: int = 80,
     lg_k: int = 12,
-    near_percent: int | None = None,
     text: str = "text",
     site: str = "source",
     doc_id: str = "doc_id",
@@ -91,14 +115,13 @@ def remove_boilerplate(
     """`docs` without the lines that at least `min_sites` distinct sites share.
 
     Lines are what stands between line feeds, compared without blanks (U+0020) at their ends;
-    blank lines are neither counted nor removed. A text with more than `max_share` of its
-    characters on shared lines is a copy of a document rather than a page with boilerplate: it
-    is left whole, for document dedup to judge. With `near_percent` the share is no evidence by
-    itself: such a text is left whole only if its class of near-duplicates of that many percent
-    stands on several sites, and each class, copied to however many sites, counts at one of them
-    when the sites of a line are counted. All columns are kept as they are, but for the
-    text; two columns are added: n_lines and n_removed (0 and 0 for a null text, which stays
-    null). Rows are kept, repeated ones too. An empty table gives an empty one.
+    blank lines are neither counted nor removed. A class of near-duplicates (five-word shingles,
+    `near_percent` hundredths) on several sites is one document, copied: it counts at one of
+    them, so copies of a document do not make its lines boilerplate. All other lines count at
+    the sites of their texts, and wide ones go from every text, whatever their share of it. All
+    columns are kept as they are, but for the text; two columns are added: n_lines and n_removed
+    (0 and 0 for a null text, which stays null). Rows are kept, repeated ones too. An empty table
+    gives an empty one.
     """
     key, drop = unused(docs, "line_key"), unused(docs, "line_drop")
     n_lines, n_removed = "n_lines", "n_removed"
@@ -117,59 +140,32 @@ def remove_boilerplate(
     sites = lines.where(F.col("site").isNotNull()).select(
         "line", F.col("site").cast("string").alias("site")
     )
+    # Lines that are wide before copies are told apart; only their texts can lose any.
     shared = stage(widespread_lines(sites, min_sites, lg_k), "shared-lines")
-    if shared.fits(BROADCAST_BYTES):
-        hits = lines.join(F.broadcast(shared.frame), "line")
-    else:
-        salted = lines.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)))
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))
-        hits = salted.join(shared.frame.withColumn("salt", salts), ["line", "salt"])
+    hits = stage(_with_lines(lines, shared).select("key", "site", "line"), "line-hits").frame
+    hit_keys = stage(hits.select("key").distinct(), "line-keys")
+    few = F.broadcast(hit_keys.frame) if hit_keys.fits(BROADCAST_BYTES) else hit_keys.frame
+    candidates = keyed.select(
+        F.col(key).alias("key"), column(site).cast("string").alias("site"), column(text).alias("text")
+    ).join(few, "key", "left_semi")
+    candidates = stage(candidates, "copy-candidates").frame
+    copies = stage(_copies(candidates, near_percent), "copies")
+    known = F.broadcast(copies.frame) if copies.fits(BROADCAST_BYTES) else copies.frame
+    counted_at = F.coalesce("one", F.col("site").cast("string")).alias("site")
+    sites = hits.join(known, "key", "left").select("line", counted_at)
+    wide = stage(
+        widespread_lines(sites.where(F.col("site").isNotNull()), min_sites, lg_k), "wide-lines"
+    )
+    drops = _with_lines(hits, wide).groupBy(F.col("key").alias(key)).agg(
+        F.collect_set("line").alias(drop)
+    )
+    joined = keyed.join(drops, key, "left")
 
     def dropped(line: Column) -> Column:
         return F.array_contains(F.col(drop), _line_hash(line)) & ~_is_blank(line)
 
-    def size(pieces: Column) -> Column:
-        return F.aggregate(pieces, F.lit(0).cast("bigint"), lambda n, x: n + F.length(F.trim(x)))
-
-    def with_drops(hits: DataFrame) -> DataFrame:
-        drops = hits.groupBy(F.col("key").alias(key)).agg(F.collect_set("line").alias(drop))
-        return keyed.join(drops, key, "left")
-
     pieces = _pieces(text)
     gone = F.filter(pieces, dropped)
-    mostly = size(gone) > max_share * size(pieces)
-    if near_percent is None:
-        joined, copied = with_drops(hits), F.lit(True)
-    else:
-        hits = stage(hits.select("key", "site", "line"), "line-hits").frame
-        # Of a text and its near copy one may be just below the share.
-        candidates = (
-            with_drops(hits)
-            .filter(F.col(drop).isNotNull() & (size(gone) > max_share / 2 * size(pieces)))
-            .select(
-                F.col(key).alias("key"),
-                column(site).cast("string").alias("site"),
-                column(text).alias("text"),
-            )
-        )
-        candidates = stage(candidates, "copy-candidates").frame
-        copies = stage(_copies(candidates, near_percent), "copies")
-        known = F.broadcast(copies.frame) if copies.fits(BROADCAST_BYTES) else copies.frame
-        counted_at = F.coalesce("one", F.col("site").cast("string")).alias("site")
-        sites = hits.join(known, "key", "left").select("line", counted_at)
-        shared = stage(
-            widespread_lines(sites.where(F.col("site").isNotNull()), min_sites, lg_k),
-            "shared-lines",
-        )
-        wide = F.broadcast(shared.frame) if shared.fits(BROADCAST_BYTES) else shared.frame
-        mark = unused(docs, "line_copied")
-        marks = known.select(F.col("key").alias(key), F.col("copied").alias(mark))
-        joined = with_drops(hits.join(wide, "line", "left_semi")).join(marks, key, "left")
-        copied = F.coalesce(F.col(mark), F.lit(False))
-    whole = F.col(drop).isNull() | (mostly & copied)
-    joined = joined.withColumn(drop, F.when(~whole, F.col(drop)))
-    if near_percent is not None:
-        joined = joined.drop(mark)
     kept = F.array_join(F.filter(pieces, lambda x: ~dropped(x)), "\n")
     none = F.col(drop).isNull()
     counted = joined.withColumns(
@@ -182,27 +178,52 @@ def remove_boilerplate(
 
 
 SQL = """
-    WITH pieces AS (
+    WITH RECURSIVE pieces AS (
       SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
         generate_subscripts(string_split(text, chr(10)), 1) AS pos
       FROM documents),
+    lines AS (
+      SELECT DISTINCT doc_id, source, trim(line, ' ') AS line FROM pieces
+      WHERE trim(line, ' ') <> ''),
+    shared AS (
+      SELECT line FROM lines GROUP BY line HAVING count(DISTINCT source) >= {min_sites}),
+    hits AS (SELECT * FROM lines WHERE line IN (SELECT line FROM shared)),
+    words AS (
+      SELECT doc_id, source, md5(text) AS digest, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+      FROM documents WHERE doc_id IN (SELECT doc_id FROM hits)),
+    shingles AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+      FROM words WHERE len(w) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+      SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+      FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+      SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+      WHERE 100 * n_both >= {near_percent} * (a.n + b.n - n_both)),
+    reach AS (
+      SELECT doc_id, doc_id AS other FROM words
+      UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+    classes AS (SELECT doc_id, min(other) AS class FROM reach GROUP BY doc_id),
+    labels AS (
+      SELECT class, min(digest) AS label FROM classes NATURAL JOIN words
+      GROUP BY class HAVING min(source) < max(source)),
+    chosen AS (
+      SELECT class, min_by(source, md5(label || ':' || source)) AS one
+      FROM classes NATURAL JOIN words NATURAL JOIN labels GROUP BY class),
     wide AS (
-      SELECT trim(line, ' ') AS line FROM pieces WHERE trim(line, ' ') <> ''
-      GROUP BY ALL HAVING count(DISTINCT source) >= {min_sites}),
+      SELECT line FROM hits JOIN classes USING (doc_id) LEFT JOIN chosen USING (class)
+      GROUP BY line HAVING count(DISTINCT coalesce(one, source)) >= {min_sites}),
     marked AS (
       SELECT p.*, w.line IS NOT NULL AS hit
       FROM pieces p LEFT JOIN wide w ON trim(p.line, ' ') = w.line),
-    shares AS (
-      SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_hit,
-        coalesce(sum(length(trim(line, ' '))) FILTER (hit), 0)
-          > {max_share} * sum(length(trim(line, ' '))) AS is_copy
-      FROM marked GROUP BY doc_id),
     texts AS (
-      SELECT m.doc_id, string_agg(m.line, chr(10) ORDER BY m.pos)
-          FILTER (s.is_copy OR NOT m.hit) AS text
-      FROM marked m JOIN shares s ON m.doc_id = s.doc_id GROUP BY m.doc_id)
-    SELECT d.doc_id, coalesce(s.n_lines, 0) AS n_lines,
-      CASE WHEN s.is_copy THEN 0 ELSE coalesce(s.n_hit, 0) END AS n_removed,
+      SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_hit,
+        string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit) AS text
+      FROM marked GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_hit, 0) AS n_removed,
       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(t.text, '')) END AS kept_sha256
-    FROM documents d LEFT JOIN shares s ON d.doc_id = s.doc_id
-      LEFT JOIN texts t ON d.doc_id = t.doc_id"""
+    FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id"""

@@ -50,7 +50,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op3_line_dedup", sql=lines.SQL.format(min_sites=10, max_share=0.5))
+@register("op3_line_dedup", sql=lines.SQL.format(min_sites=10, near_percent=80))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.remove_boilerplate(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
