@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines shared by many sources; n_chars follows the text. No row goes.
 
-    Texts mostly of such lines are left whole only where a near-duplicate stands on another source.
+    Copies of a text count at one source; shared lines go whatever their share of a text.
     """
     kept = lines.remove_boilerplate(docs, near_percent=NEAR_PERCENT)
     changed = F.col("n_removed") > 0
