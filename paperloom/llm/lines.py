@@ -2,18 +2,22 @@
 
 Per line hash a HyperLogLog sketch of sites is merged by aggregation, on the map side first, so
 a line of a third of all rows is one small sketch per task. Only lines whose estimate is near
-the threshold are counted exactly. Line texts never move: hashes do.
+the threshold are counted exactly. Texts stay in place: hashes of their lines are looked up among
+the wide ones, which are sent to all tasks while they are few, measured.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.staging import BROADCAST_BYTES, Staged, stage
-from paperloom.llm.common import column, unused
+from paperloom.llm.common import column, ship, unused
 from paperloom.llm.minhash import near_duplicates
 
 SALTS = 32
@@ -103,6 +107,49 @@ def _with_lines(lines: DataFrame, shared: Staged) -> DataFrame:
     return salted.join(_salted(shared.frame), ["line", "salt"], "left_semi").drop("salt")
 
 
+def _among(hashes: pa.ListArray, known: np.ndarray) -> pa.Array:
+    """For every list of hashes which of them are in the sorted array `known`."""
+    flat = hashes.flatten().to_numpy(zero_copy_only=False)
+    found = np.zeros(len(flat), bool)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+        found = known[at] == flat
+    sizes = pc.fill_null(pc.list_value_length(hashes), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(found))
+
+
+def _marked(rows: DataFrame, hashes: str, key: str, wide: Staged, hits: DataFrame, mark: str):
+    """`rows` with `mark`: which of their `hashes` are wide lines; false for all or null: none.
+
+    Wide lines are sent to all tasks, 8 bytes each, up to BROADCAST_BYTES. Beyond that the lines
+    to drop are joined to the rows by key.
+    """
+    if wide.rows * 8 <= BROADCAST_BYTES:
+        known = np.sort(wide.frame.toArrow().column("line").to_numpy())
+        sent = rows.sparkSession.sparkContext.broadcast(known)
+
+        @F.arrow_udf("array<boolean>")
+        def look_up(found: pa.Array) -> pa.Array:
+            return _among(found, sent.value)
+
+        return rows.withColumn(mark, look_up(column(hashes)))
+
+    @F.arrow_udf("array<boolean>")
+    def compare(found: pa.Array, drops: pa.Array) -> pa.Array:
+        marks = []
+        for lines, gone in zip(found, drops, strict=True):
+            both = lines.is_valid and gone.is_valid
+            marks.append(np.isin(lines.values.to_numpy(), gone.values.to_numpy()) if both else None)
+        return pa.array(marks, pa.list_(pa.bool_()))
+
+    drops = _with_lines(hits, wide).groupBy(F.col("key").alias(key)).agg(
+        F.collect_set("line").alias(mark)
+    )
+    joined = rows.join(drops, key, "left")
+    return joined.withColumn(mark, compare(column(hashes), column(mark)))
+
+
 def remove_boilerplate(
     docs: DataFrame,
     min_sites: int = 10,
@@ -123,7 +170,8 @@ def remove_boilerplate(
     (0 and 0 for a null text, which stays null). Rows are kept, repeated ones too. An empty table
     gives an empty one.
     """
-    key, drop = unused(docs, "line_key"), unused(docs, "line_drop")
+    ship(docs.sparkSession)
+    key, hashes, mark = (unused(docs, n) for n in ("line_key", "line_hashes", "line_mark"))
     n_lines, n_removed = "n_lines", "n_removed"
     docs = docs.drop(n_lines, n_removed)
     # Only rows alike in both share a key, and those have the same lines to drop.
@@ -156,25 +204,16 @@ def remove_boilerplate(
     wide = stage(
         widespread_lines(sites.where(F.col("site").isNotNull()), min_sites, lg_k), "wide-lines"
     )
-    drops = _with_lines(hits, wide).groupBy(F.col("key").alias(key)).agg(
-        F.collect_set("line").alias(drop)
-    )
-    joined = keyed.join(drops, key, "left")
-
-    def dropped(line: Column) -> Column:
-        return F.array_contains(F.col(drop), _line_hash(line)) & ~_is_blank(line)
-
     pieces = _pieces(text)
-    gone = F.filter(pieces, dropped)
-    kept = F.array_join(F.filter(pieces, lambda x: ~dropped(x)), "\n")
-    none = F.col(drop).isNull()
-    counted = joined.withColumns(
-        {
-            n_lines: F.coalesce(F.size(pieces), F.lit(0)).cast("bigint"),
-            n_removed: F.when(none, 0).otherwise(F.size(gone)).cast("bigint"),
-        }
+    hashed = keyed.withColumn(hashes, F.transform(pieces, _line_hash))
+    marked = _marked(hashed, hashes, key, wide, hits, mark)
+    gone = F.coalesce(F.size(F.filter(mark, lambda hit: hit)), F.lit(0)).cast("bigint")
+    counted = marked.withColumns(
+        {n_lines: F.coalesce(F.size(pieces), F.lit(0)).cast("bigint"), n_removed: gone}
     )
-    return counted.withColumn(text, F.when(none, column(text)).otherwise(kept)).drop(key, drop)
+    kept = F.array_join(F.filter(pieces, lambda _, i: ~F.get(mark, i)), "\n")
+    changed = F.when(F.col(n_removed) > 0, kept).otherwise(column(text))
+    return counted.withColumn(text, changed).drop(key, hashes, mark)
 
 
 SQL = """
