@@ -293,14 +293,15 @@ def _remaining(live: DataFrame, components: DataFrame, texts: DataFrame, percent
 def near_duplicates(
     docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and text_hash (xxhash64) of every row of `docs`.
+    """doc_id, n_shingles, component_id, kept, text_hash (xxhash64) and group of every row of `docs`.
 
     Texts are sets of five-word shingles; two are linked if their intersection is at least
     `percent` hundredths of their union. component_id is the smallest doc_id that links reach,
     the row's own included; kept says whether it is the row's own. Null texts and texts without
     words have empty sets and are linked with nothing. Rows without doc_id take part, but name no
-    component: alone they have a null one and are kept. Repeated rows are kept alike. Columns of
-    other names do not matter; an empty table gives an empty result.
+    component: alone they have a null one and are kept. Repeated rows are kept alike. group tells
+    components apart also where they share their smallest doc_id, or have none; it is null for
+    an empty set. Columns of other names do not matter; an empty table gives an empty result.
 
     All links are verified on full sets. A pair just at the limit of 85 % meets in no bucket with
     a probability of 0.000015, at 80 % with 0.0004; it is then missed unless others connect it.
@@ -377,7 +378,9 @@ def near_duplicates(
     )
     known = written(known, "classes")
     smallest = known.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = known.join(smallest, "component").select("class", "component_id")
+    named = known.join(smallest, "component").select(
+        "class", "component_id", F.col("component").alias("group")
+    )
     result = sets.select("doc_id", "text_hash", "n_shingles", "class").join(named, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select(
@@ -386,6 +389,7 @@ def near_duplicates(
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
         "text_hash",
+        "group",
     )
 
 
@@ -394,19 +398,28 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """`docs` with one row of each group of near-duplicates, that with the smallest id.
 
-    Rows with empty sets all stay. Of kept rows that share id and text one stays. Without an id
-    in a whole group all its rows have the same claim; one for each text stays. All columns are
-    kept as they are.
+    Rows with empty sets all stay. Where several texts of a group share the smallest id, or no
+    row of it has an id, the text with the smallest xxhash64 stays, once. Groups of other texts
+    keep a row of their own even if their ids are alike. All columns are kept as they are.
     """
     names = [unused(docs, n) for n in ("near_mark", "near_row", "near_text", "near_hash")]
     mark, row, hashed, own = names
     found = near_duplicates(docs, percent, key, text)
-    # Kept rows by id; a row without words needs no decision.
+    # One row for each group, found on narrow rows; a row without words needs no decision.
+    texts_of = (
+        found.filter(F.col("kept") & F.col("group").isNotNull())
+        .groupBy("group", "doc_id", "text_hash")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    first = F.min(F.struct("text_hash", "doc_id", "rows")).alias("first")
     kept = (
-        found.filter(F.col("kept") & (F.col("n_shingles") > 0))
-        .groupBy("doc_id", "text_hash")
-        .agg(F.count(F.lit(1)).alias(mark))
-        .withColumnsRenamed({"doc_id": row, "text_hash": hashed})
+        texts_of.groupBy("group")
+        .agg(first)
+        .select(
+            F.col("first.doc_id").alias(row),
+            F.col("first.text_hash").alias(hashed),
+            F.col("first.rows").alias(mark),
+        )
     )
     words = F.coalesce(column(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     chosen = (

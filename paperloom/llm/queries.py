@@ -126,7 +126,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_minhash")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
-    return found.drop("text_hash")
+    return found.drop("text_hash", "group")
 
 
 @register("op4_fixed_block_anchors")

@@ -124,6 +124,15 @@ def test_one_of_each_group_stays(docs, rows, empty):
     assert minhash.near_duplicates(empty).isEmpty()
 
 
+def test_one_row_stays_where_ids_repeat(spark):
+    """Near copies that share an id, or have none, are one group; other texts of that id are not."""
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    texts = [(7, a), (7, f"{a} x"), (9, f"{a} y"), (7, b), (None, "c " * 9), (None, "C " * 9)]
+    frame = spark.createDataFrame([*texts, texts[0], texts[4]], "doc_id long, text string")
+    got = Counter((r.doc_id, r.text[:1].lower()) for r in minhash.drop_near_duplicates(frame).collect())
+    assert got == {(7, "a"): 1, (7, "b"): 1, (None, "c"): 1}
+
+
 def test_components_of_a_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "u long, v long")
     found = {r.node: r.component for r in connected_components(chain).collect()}
