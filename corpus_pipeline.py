@@ -45,8 +45,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest doc_id.
 
-    Documents with an empty text stay, each for itself. Of exact repetitions of a kept row one
-    stays; so it is with rows that share doc_id and text but differ in other columns.
+    Documents with an empty text stay, each for itself. Where rows of a group share the smallest
+    doc_id, or none has one, one of them stays, also if they differ in other columns.
     """
     return minhash.drop_near_duplicates(docs, NEAR_PERCENT)
 
