@@ -289,9 +289,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     `labels` has doc_id and toxic; rows without either are left out, and of several rows for a
     document one that says toxic is enough. At most `sample_rows` documents are used, those with
-    the smallest hashes of doc_id. The scale is fitted on each half of them with the other
-    half's lexicon, so that it knows how well terms hold on new texts; the lexicon of the model
-    comes from both. Without labelled rows of both kinds nothing is found toxic.
+    the smallest hashes of doc_id, each once: of several texts the smallest. The scale is fitted
+    on each half of them with the other half's lexicon, so that it knows how well terms hold on
+    new texts; the lexicon of the model comes from both. Without labelled rows of both kinds nothing is found toxic.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -306,7 +306,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = written(
         docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
         .join(F.broadcast(chosen), F.col("id") == F.col("doc_id"))
-        .select(part, "toxic", F.col("body").alias("text")),
+        .groupBy("doc_id")
+        .agg(F.first("toxic").alias("toxic"), F.min("body").alias("text"))
+        .select(part, "toxic", "text"),
         "labelled",
     )
     n = {tuple(r[:2]): r[2] for r in sample.groupBy("part", "toxic").count().collect()}

@@ -173,6 +173,9 @@ def test_toxicity(spark, docs):
     assert right > 0.97 and all((r.score >= 0.7) == r.predicted for r in found)
     assert not any(r.predicted for r in found if r.doc_id is None or r.doc_id < 1000)
     model = toxicity.learn(frame, toxicity.training_labels(known))
+    repeated = frame.unionAll(frame.filter("doc_id % 7 = 0"))
+    again = toxicity.learn(repeated, toxicity.training_labels(known))
+    assert (again["terms"], again["ordinary"]) == (model["terms"], model["ordinary"])
     kept = toxicity.drop_toxic(docs, model)
     assert kept.schema == docs.schema and kept.count() == docs.count()
     nothing = toxicity.toxic_scores(frame, known.filter("false"))
