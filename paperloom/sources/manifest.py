@@ -17,16 +17,79 @@ from pyspark.sql import types as T
 _FOOTER = "path string, compressed bigint, rows bigint, uncompressed bigint, schema_id string"
 _FOLDER_VALUE = r"/([^/=]+)=([^/]*)(?=/)"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_PARQUET = "*.parquet"
 
 
-def _files(spark: SparkSession, path: str | Sequence[str], pattern: str) -> DataFrame:
-    """The listing of a tree; no file is opened as long as `content` is not selected."""
+def _listing(spark: SparkSession, paths: list[str], pattern: str) -> DataFrame:
+    """The files of a tree by name; no file is opened as long as `content` is not selected."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load([path] if isinstance(path, str) else list(path))
+        .load(paths)
+    )
+
+
+def _files(spark: SparkSession, path: str | Sequence[str], pattern: str) -> DataFrame:
+    return _listing(spark, *fitting(spark, path, pattern))
+
+
+def _literal(path: str) -> str:
+    """Paths are read as patterns; this one stands for itself."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _name_regex(pattern: str) -> str:
+    """The names that fit a file pattern, as a regular expression."""
+    marks = {"*": "[^/]*", "?": "[^/]", "{": "(?:", "}": ")"}
+    found, braces = "", 0
+    for part in re.findall(r"\\.|\[[^\]]+\]|.", pattern):
+        braces += (part == "{") - (part == "}")
+        if part[0] == "[" and len(part) > 1:
+            found += f"[^/{part[2:]}" if part[1] in "!^" else part
+        elif part == "," and braces:
+            found += "|"
+        else:
+            found += marks.get(part) or re.escape(part[-1])
+    return f"(?:{found})"
+
+
+def _folders(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The folders that `paths` stand for, of files those they lie in, spelt as in listings."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folders = []
+    for path in map(hadoop.Path, paths):
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.globStatus(path) or []:
+            at = status.getPath()
+            folders.append((at.getParent() if status.isFile() else at).toString().rstrip("/"))
+    return folders
+
+
+def fitting(
+    spark: SparkSession, path: str | Sequence[str], pattern: str
+) -> tuple[list[str], str]:
+    """Paths and file pattern by which a reader finds what fits `pattern` below `path`.
+
+    A folder that fits is a table: all Parquet files in it belong to it, also by other names. The
+    driver sees one row per such folder, and per file outside of them that fits if there are any.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    if pattern == _PARQUET:  # already fits the files in all folders
+        return paths, pattern
+    names = f"{{{pattern},{_PARQUET}}}"
+    listed = _listing(spark, paths, names).select("path").coalesce(spark.sparkContext.defaultParallelism)
+    above = "|".join(map(re.escape, _folders(spark, paths)))
+    outermost = f"^(?:{above})/(?:[^/]+/)*?{_name_regex(pattern)}(?=/|$)"
+    found = (
+        listed.withColumn("fits", F.regexp_extract("path", outermost, 0))
+        .filter("fits <> ''")
+        .groupBy("fits")
+        .agg(F.bool_or(F.col("fits") != F.col("path")).alias("folder"))
     )
+    if found.filter("folder").isEmpty():
+        return paths, pattern
+    return [_literal(row["fits"]) for row in found.sort("fits").collect()], names
 
 
 def parquet_footers(
@@ -85,8 +148,7 @@ def merged_schema(
     Tasks read the footers and the driver merges one file per distinct schema.
     """
     firsts = parquet_footers(spark, path, pattern).groupBy("schema_id").agg(F.min("path").alias("path"))
-    # Paths are read as patterns; those of files stand for themselves.
-    names = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row["path"]) for row in firsts.sort("path").collect()]
+    names = [_literal(row["path"]) for row in firsts.sort("path").collect()]
     options = {"recursiveFileLookup": "true", "mergeSchema": "true"}
     return spark.read.options(**options).parquet(*names).schema
 

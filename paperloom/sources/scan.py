@@ -23,21 +23,24 @@ def scan_parquet(
 ) -> DataFrame:
     """All Parquet files below `path` whose name fits `pattern`, at any depth.
 
+    A folder whose name fits is a table: all Parquet files in it belong to the scan.
+
     With `folder_columns`, folders named `column=value` become columns, also where other files of the tree lie outside
     such folders: those keep the column of their own, or get NULL. Values are whole numbers if
     all of them are, else strings.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    roots = [path] if isinstance(path, str) else list(path)
+    paths, names = manifest.fitting(spark, roots, pattern)
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names)
     if schema is not None:
         reader = reader.schema(schema)
-    roots = [path] if isinstance(path, str) else list(path)
-    frame = reader.parquet(*roots)
+    frame = reader.parquet(*paths)
     if not folder_columns:
         return frame
     types = manifest.folder_columns(spark, roots, pattern)
     if types and schema is None:
         # Files in such folders lack the column that others of the tree may have.
-        frame = reader.schema(manifest.merged_schema(spark, roots, pattern)).parquet(*roots)
+        frame = reader.schema(manifest.merged_schema(spark, roots, pattern)).parquet(*paths)
     return _with_folder_columns(frame, types)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, DataFrameReader
 from pyspark.sql import functions as F
 
 from paperloom.operators import audit
+from paperloom.registry.catalogue import QUERIES
 from paperloom.schemas import TABLES, struct_of
 from paperloom.sources import export, footers, manifest, releases, scan, tables
 
@@ -27,6 +28,46 @@ def test_scan_finds_files_at_any_depth(spark, tmp_path):
     assert found.columns == ["id"] and found.count() == 5
 
 
+def test_names_fit_files_and_folders_of_files(spark, tmp_path):
+    root = f"{tmp_path}/docs [1] a"
+    put = lambda a, b, at: spark.range(a, b, numPartitions=2).write.parquet(f"{root}/{at}")
+    put(0, 10, "docs.parquet")
+    put(10, 20, "more/year=2001/docs.parquet/docs.parquet")  # the inner one belongs to the outer one
+    spark.range(20, 25).coalesce(1).write.parquet(f"{root}/single")
+    file = next(Path(f"{root}/single").glob("*.parquet"))
+    Path(f"{root}/flat").mkdir()
+    file.rename(f"{root}/flat/docs.parquet")
+    put(100, 110, "mydocs.parquet")
+    put(100, 110, "docs.parquet2")
+    put(100, 110, "docs.parquet/_temporary/0")
+    spark.sql("SELECT 'x' AS other").write.parquet(f"{root}/labels.parquet")
+
+    escaped = root.replace("[", "\\[").replace("]", "\\]")
+    ids = lambda found: [r["id"] for r in found.sort("id").collect()]
+    scanned = lambda pattern, path=escaped, **o: scan.scan_parquet(spark, path, pattern, **o)
+    for pattern in ("docs.parquet", "d?[!a]s.parquet", "{docs,none}.parquet"):
+        assert ids(scanned(pattern)) == list(range(25))
+    assert ids(scanned("docs.parquet", [f"{escaped}/more", f"{escaped}/flat/docs.parquet"])) == list(range(10, 25))
+    assert ids(scanned("docs.parquet", f"{escaped}/flat")) == list(range(20, 25))  # files alone
+    assert ids(scanned("docs*", f"{escaped}/more")) == list(range(10, 20))
+    years = scanned("docs.parquet", folder_columns=True).groupBy("year").count()
+    assert rows(years, "year", "count") == [(2001, 10), (None, 15)]
+    # Names above the path do not count.
+    assert scanned("labels.parquet").columns == ["other"]
+    with pytest.raises(AnalysisException):
+        scanned("docs ?1? a")
+    assert footers.estimate_size(spark, escaped, "docs.parquet").first()["total_rows"] == 25
+
+
+def test_query_by_name_takes_a_table_of_several_files(spark, tmp_path):
+    texts = [(1, "a", "en", "s1", 1), (2, "b c", "en", "s1", 3), (3, None, None, None, None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(texts, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(2).write.parquet(f"{tmp_path}/labels.parquet")
+    found = QUERIES["scan_parquet_glob"](spark, str(tmp_path))
+    assert rows(found, "source", "lang", "docs", "chars") == [("s1", "en", 2, 4), (None, None, 1, None)]
+
+
 @pytest.fixture
 def vintages(spark, tmp_path):
     old, new = f"{tmp_path}/old", f"{tmp_path}/new"
